@@ -27,14 +27,16 @@ def hot_keys(counts: DataFrame, key: str, rows: str = "n", per_task: int = ROWS_
 def join_unique(df: DataFrame, dim: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
     """``df.join(dim, key, how)`` for ``dim`` unique on ``key``; inner, left or left_semi.
 
-    Rows of a hot key get one of ``_parts`` part numbers from a hash of the row, and the one
-    matching ``dim`` row is repeated once per part. Rows without a key match nothing and are
-    spread the same way. ``hot`` has at most MAX_HOT_KEYS rows and is broadcast; where it is
-    empty at run time the plan is an ordinary equi-join. A small ``dim`` is
-    broadcast by adaptive execution, which knows its true size.
+    Rows of a hot key get one of ``_parts`` part numbers, and the one matching ``dim`` row is
+    repeated once per part. Rows without a key match nothing and are spread the same way.
+    ``hot`` has at most MAX_HOT_KEYS rows and is broadcast; where it is empty at run time the
+    plan is an ordinary equi-join. A small ``dim`` is broadcast by adaptive execution, which
+    knows its true size.
     """
     hot = F.broadcast(hot)
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    # From the row and its partition only, so that a task run again gives each row the same
+    # part; the partition number spreads equal rows.
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
     parts = F.when(F.col(key).isNull(), F.lit(MAX_HOT_KEYS)).otherwise(F.coalesce("_parts", F.lit(1)))
     left = (
         df.join(hot, key, "left")

@@ -32,8 +32,9 @@ def parse_messages(feed: DataFrame) -> DataFrame:
 
     Messages that are not JSON objects, or name no user, are dropped.
     """
-    events = feed.select(decode_message(F.col("value")).alias("data")).select("data.*")
-    return events.where(F.col("UserId").isNotNull())
+    # A filter on the parsed column would be moved below the parsing and parse a second time.
+    kept = F.filter(F.array(decode_message(F.col("value"))), lambda m: m["UserId"].isNotNull())
+    return feed.select(F.inline(kept))
 
 
 def read_feed(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -41,5 +41,5 @@ def read_reviews(spark: SparkSession, path: str, multiline: bool = False) -> Dat
 def write_csv(df: DataFrame, path: str) -> None:
     """Export with a header, replacing what is there. One file per partition: merging into
     a single file would push the whole result through one task."""
-    options = QUOTING | {"emptyValue": '""'}
-    df.write.mode("overwrite").options(**options).csv(path)
+    whole = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode("overwrite").options(**QUOTING, **whole).csv(path)

@@ -48,7 +48,7 @@ RUNS = """
 runs AS (
   SELECT p_brand AS name, p_partkey + 1 AS version,
          ['None', 'Staging', 'Production', 'Archived'][p_size % 4 + 1] AS stage,
-         CAST(10 * (1 + p_partkey % 2) AS INTEGER) AS rank, 0.05 * (1 + p_partkey % 2) AS "regParam",
+         CAST(10 * (1 + p_partkey % 2) AS INTEGER) AS rank, CAST(0.05 AS DOUBLE) * (1 + p_partkey % 2) AS "regParam",
          p_retailprice / 1000 AS rmse, p_type AS path
   FROM part)"""
 
@@ -77,7 +77,7 @@ def _sides(predicate: str, yes: str, no: str) -> str:
 
 
 def _dot(sign: int) -> str:
-    return f"""SELECT user_index, rank, item_index, score FROM (
+    return f"""SELECT user_index, CAST(rank AS INTEGER) AS rank, item_index, score FROM (
   SELECT *, row_number() OVER (PARTITION BY user_index ORDER BY score DESC, item_index) AS rank FROM (
     SELECT u.vec_id AS user_index, i.vec_id AS item_index,
            round({sign} * list_inner_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 6) AS score
@@ -153,10 +153,10 @@ SQL: dict[str, str] = {
           SELECT "UserId", idx, CAST("Score" AS DOUBLE) AS score,
                  row_number() OVER (PARTITION BY "UserId" ORDER BY "Score" DESC, idx) AS rank
           FROM pairs JOIN ii ON label = "ProductId") WHERE rank <= 5)
-        SELECT "UserId", row_number() OVER (PARTITION BY "UserId" ORDER BY rank) - 1 AS pos,
+        SELECT "UserId", CAST(row_number() OVER (PARTITION BY "UserId" ORDER BY rank) - 1 AS INTEGER) AS pos,
                label AS "ProductId", round(score, 6) AS score
         FROM ranked JOIN names USING (idx)""",
-    "recs_json": f"""WITH {BEST} SELECT "UserId", rank - 1 AS pos, "ProductId", score FROM best""",
+    "recs_json": f"""WITH {BEST} SELECT "UserId", CAST(rank - 1 AS INTEGER) AS pos, "ProductId", score FROM best""",
     "recs_format": """SELECT event_id,
         CASE event_id % 5 WHEN 0 THEN 'B' || user_id || '|' || event_id || '|raw' WHEN 3 THEN 'None|7'
              WHEN 4 THEN '{"other":' || user_id || '}' ELSE '' END AS items,
@@ -168,7 +168,7 @@ SQL: dict[str, str] = {
         SELECT "UserId", 0 AS pos, arg_max("ProductId", batch) AS "ProductId",
                round(arg_max(score, batch), 6) AS score
         FROM lists GROUP BY 1""",
-    "serve_point_lookup": f"""WITH {BEST} SELECT "UserId", rank - 1 AS pos, "ProductId", score FROM stored
+    "serve_point_lookup": f"""WITH {BEST} SELECT "UserId", CAST(rank - 1 AS INTEGER) AS pos, "ProductId", score FROM stored
         WHERE "UserId" = '7'""",
     "serve_lookup_fallback": f"""WITH {BEST}, lists AS (
           SELECT "UserId", string_agg("ProductId", '|' ORDER BY rank) AS items FROM stored GROUP BY 1)
@@ -206,11 +206,11 @@ SQL: dict[str, str] = {
     "stream_rate_by_handler": """SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events
         GROUP BY 1, 2
         HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
-    "stream_recommend": f"""SELECT CAST(user_index AS VARCHAR) AS "UserId", rank - 1 AS pos,
+    "stream_recommend": f"""SELECT CAST(user_index AS VARCHAR) AS "UserId", CAST(rank - 1 AS INTEGER) AS pos,
                'item-' || item_index AS "ProductId", score
         FROM ({_dot(1)}) WHERE user_index IN (SELECT user_id * 5 FROM events)""",
     "stream_model_swap": f"""WITH again AS (SELECT DISTINCT user_id * 5 AS u FROM events WHERE CAST(value AS FLOAT) > 100)
-        SELECT CAST(user_index AS VARCHAR) AS "UserId", rank - 1 AS pos, 'item-' || item_index AS "ProductId", score
+        SELECT CAST(user_index AS VARCHAR) AS "UserId", CAST(rank - 1 AS INTEGER) AS pos, 'item-' || item_index AS "ProductId", score
         FROM (SELECT * FROM ({_dot(1)}) WHERE user_index NOT IN (SELECT u FROM again)
               UNION ALL SELECT * FROM ({_dot(-1)}) WHERE user_index IN (SELECT u FROM again))
         WHERE user_index IN (SELECT user_id * 5 FROM events)""",

@@ -14,9 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Redistribute a table whose files give fewer tasks than there are cores; a table of many
+    files is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(Id, UserId, ProductId, Score, Time): each order line is a customer's review of a part."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("Id"),
