@@ -37,7 +37,7 @@ def apply_labels(
     if unseen == "keep":
         idx = F.coalesce("_idx", labels.agg(F.count(F.lit(1))).scalar())
     elif unseen == "error":
-        idx = F.coalesce("_idx", F.raise_error(F.format_string("no index for %s", column)).cast("int"))
+        idx = F.coalesce("_idx", F.raise_error(F.format_string(f"no index for {column} %s", column)).cast("int"))
     elif unseen == "skip":
         idx = F.col("_idx")
     else:
