@@ -39,15 +39,18 @@ def score_batch(models: ModelCache, store: str, top_n: int, run_seq: int) -> Cal
         bundle = models.current()
         # Kept, so that the batch is read from its source once.
         users = distinct_users(events).persist(StorageLevel.MEMORY_AND_DISK)
+        known = None
         try:
             n_users = users.count()
             if not n_users:
                 return
-            known = bundle.known_users(users, n_users)
+            known = bundle.known_users(users, n_users).persist(StorageLevel.MEMORY_AND_DISK)
             if known.isEmpty():
                 return
             recstore.write_batch(bundle.recommend(known, top_n), store, run_seq, batch_id)
         finally:
             users.unpersist()
+            if known is not None:
+                known.unpersist()
 
     return score
