@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.sources.schemas import RATING_COLUMNS, require_columns
 
 PAIR = ["UserId", "ProductId"]
+NEWEST = ["Time", "Score", "Id"]
 
 
 def clean_nulls(df: DataFrame, columns: Sequence[str] = RATING_COLUMNS) -> DataFrame:
@@ -17,22 +18,18 @@ def clean_nulls(df: DataFrame, columns: Sequence[str] = RATING_COLUMNS) -> DataF
     return require_columns(df, columns).dropna(subset=list(columns))
 
 
-def newest_first(df: DataFrame) -> list[Column]:
-    """Total order on the reviews of one pair: latest, then best score, then highest id."""
-    return [F.col(c).desc_nulls_last() for c in ("Time", "Score", "Id") if c in df.columns]
+def dedup_latest(df: DataFrame, keys: Sequence[str] = PAIR, newest: Sequence[str] = NEWEST) -> DataFrame:
+    """Keep one row per key: the greatest in ``newest``, by default the latest review of a pair,
+    then the best score, then the highest id. NULL counts as the smallest.
 
-
-def dedup_latest(
-    df: DataFrame, keys: Sequence[str] = PAIR, order: Sequence[Column] | None = None
-) -> DataFrame:
-    """Keep one row per key, the first in ``order``; by default the latest review of a pair.
-
-    Each task keeps only its own first row per key before the shuffle, so a pair repeated any
-    number of times sends one row per task.
+    The rank-1 row of a window, written as the greatest struct per key: tasks reduce their rows
+    before the shuffle, so a pair repeated any number of times sends one row per task, and
+    rows are sorted by the key alone. Remaining columns break remaining ties.
     """
-    order = order or newest_first(df)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    first = [c for c in newest if c in df.columns]
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    row = df.groupBy(*keys).agg(F.max(F.struct(*first, *rest)).alias("_row"))
+    return row.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def dedup_pairs(df: DataFrame) -> DataFrame:
@@ -41,6 +38,4 @@ def dedup_pairs(df: DataFrame) -> DataFrame:
     Without a ``Time`` the survivor is the best score, so that the result does not depend
     on the order in which rows arrive.
     """
-    newest = [c for c in ("Time", "Score", "Id") if c in df.columns]
-    rank = F.struct(*newest)
-    return df.groupBy(*PAIR).agg(F.max(rank).getField("Score").alias("Score"))
+    return dedup_latest(df.select(*[c for c in df.columns if c in (*PAIR, *NEWEST)])).select(*PAIR, "Score")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tasteloom.operators import activity, clean, serve
+from tasteloom.operators import activity, clean, serve, topn
 from tasteloom.sources import recstore
 from tasteloom.sources.replay import parse_messages
 from tasteloom.sources.scratch import scratch_dir
@@ -15,6 +15,12 @@ def plan(df) -> str:
 
 def test_dedup_cuts_each_task_to_one_row_per_pair(spark, sf):
     text = plan(clean.dedup_latest(tables.reviews(spark, sf)))
+    assert "partial_max(struct(Time" in text and "Window" not in text
+
+
+def test_top_n_cuts_each_task_to_n_rows_per_user(spark, sf):
+    scored = tables.reviews(spark, sf).selectExpr("UserId AS user_index", "ProductId AS item_index", "Score AS score")
+    text = plan(topn.keep_topn(scored, 5))
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
 
 
