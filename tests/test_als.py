@@ -30,12 +30,12 @@ def indexed(reviews):
 
 @pytest.fixture(scope="module")
 def model(indexed):
-    return training.als(rank=3, regParam=0.02).fit(indexed)
+    return training.fit(indexed, rank=3, regParam=0.02)
 
 
 def test_beats_the_mean_on_planted_factors(indexed, model):
     train, test = training.hash_split(indexed)
-    fitted = training.als(rank=3, regParam=0.02).fit(train)
+    fitted = training.fit(train, rank=3, regParam=0.02)
     quality = training.evaluate(fitted, test).first()
     spread = test.agg(F.stddev_pop("Score")).first()[0]
     assert quality["rmse"] < 0.3 * spread
@@ -59,11 +59,17 @@ def test_top_n_equals_exact_search(model):
 
 
 def test_same_seed_same_model(indexed, model):
-    again = training.als(rank=3, regParam=0.02).fit(indexed.repartition(5))
+    again = training.fit(indexed.repartition(5), rank=3, regParam=0.02)
     one, two = (training.evaluate(m, indexed).first()["rmse"] for m in (model, again))
     assert one == pytest.approx(two, abs=1e-3)
 
 
+def test_blocks_grow_with_the_ratings(indexed, monkeypatch):
+    assert training.blocks_for(indexed) == {"numUserBlocks": 10, "numItemBlocks": 10}
+    monkeypatch.setattr(training, "RATINGS_PER_BLOCK", 100)
+    assert training.blocks_for(indexed)["numUserBlocks"] == indexed.count() // 100 + 1
+
+
 def test_tuning_reports_the_winner(indexed):
     tuned = training.tune(indexed, ranks=[2, 3], reg_params=[0.02, 5.0], maxIter=5)
     best = min(tuned.grid, key=lambda g: g[2])

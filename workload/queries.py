@@ -165,7 +165,7 @@ def topn_factor_dot(spark: SparkSession, sf: str) -> DataFrame:
 def _trained(spark: SparkSession, sf: str) -> tuple[Bundle, DataFrame]:
     frame = training.train_frame(t.reviews(spark, sf))
     train, test = split.hash_split(cut(frame.ratings, "indexed"))
-    model = training.als(rank=10, regParam=0.1).fit(train)
+    model = training.fit(train, rank=10, regParam=0.1)
     return Bundle.of_als(model, frame.user_labels, frame.item_labels), test
 
 
