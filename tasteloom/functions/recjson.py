@@ -11,26 +11,29 @@ def encode_recommendations(recommendations: Column) -> Column:
     return F.to_json(recommendations)
 
 
-def served_item(element: Column) -> Column:
-    """Text shown for one element of a list: ``item_index``, else ``ProductId``, else all of it.
+def served_items(text: Column) -> Column:
+    """Names shown for a stored list; text that is not a JSON list gives an empty list.
 
-    A key that is present with a JSON null wins over the keys after it and reads ``None``,
-    as does a bare null element.
+    Of an object the ``item_index`` is shown, else the ``ProductId``, else all of it. A key that is
+    present with a JSON null wins over those after it and reads ``None``, as does a null element.
     """
-    keys = F.coalesce(F.json_object_keys(element), F.array().cast("array<string>"))
+    elements = F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
+    # Each element is parsed once here and looked at several times below.
+    parsed = F.transform(elements, lambda e: F.struct(
+        e.alias("text"), F.from_json(e, "map<string,string>").alias("fields")))
+    return F.transform(parsed, lambda p: _shown(p["text"], p["fields"]))
 
-    def field(name: str) -> Column:
-        return F.coalesce(F.get_json_object(element, f"$.{name}"), F.lit("None"))
 
-    return (
-        F.when(element.isNull(), F.lit("None"))
-        .when(F.array_contains(keys, "item_index"), field("item_index"))
-        .when(F.array_contains(keys, "ProductId"), field("ProductId"))
-        .otherwise(element)
-    )
+def _shown(text: Column, fields: Column) -> Column:
+    def has(name: str) -> Column:
+        return fields.isNotNull() & F.map_contains_key(fields, name)
 
+    def value(name: str) -> Column:
+        return F.coalesce(fields[name], F.lit("None"))
 
-def served_items(text: Column) -> Column:
-    """Product names in a stored list. Text that is not a JSON list gives an empty list."""
-    elements = F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
-    return F.transform(elements, served_item)
+    return (
+        F.when(text.isNull(), F.lit("None"))
+        .when(has("item_index"), value("item_index"))
+        .when(has("ProductId"), value("ProductId"))
+        .otherwise(text)
+    )

@@ -183,7 +183,7 @@ def tune_als(spark: SparkSession, sf: str) -> DataFrame:
     """One row per candidate, the winner with its error and coverage on the test part."""
     frame = training.train_frame(t.reviews(spark, sf))
     train, test = split.hash_split(cut(frame.ratings, "indexed"))
-    tuned = training.tune(cut(train, "train"))
+    tuned = training.tune(cut(train, "train"), parallelism=4)
     grid = spark.createDataFrame(tuned.grid, "rank int, regParam double, validation_rmse double")
     best = (F.col("rank") == tuned.rank) & (F.col("regParam") == tuned.reg_param)
     quality = training.evaluate(tuned.model, test).first()
