@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The name models are registered under and the stages a version can be in.
-MODEL_NAME = "ProductRecommender"
+MODEL_NAME = "recommender"
+# The stages a version can be in.
 STAGES = ["None", "Staging", "Production"]
 
 RUNS = T.StructType([

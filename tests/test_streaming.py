@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,7 +27,10 @@ class Site:
     def send(self, *users):
         lines = [json.dumps({"UserId": u, "ProductId": "p", "Score": 1.0, "Time": 1}) if u else "garbage" for u in users]
         self.files += 1
-        (self.feed / f"{self.files:03d}.txt").write_text("\n".join(lines))
+        file = self.feed / f"{self.files:03d}.txt"
+        file.write_text("\n".join(lines))
+        # The source takes files by age; files of one millisecond would come in any order.
+        os.utime(file, (1_700_000_000 + self.files,) * 2)
 
     def publish(self, version, *products):
         """A model of users a, b, c that ranks ``products`` in this order for everyone."""
