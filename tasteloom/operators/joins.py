@@ -20,18 +20,23 @@ def hot_keys(counts: DataFrame, key: str, rows: str = "n", per_task: int = ROWS_
         counts.where((F.col(rows) > per_task) & F.col(key).isNotNull())
         .orderBy(F.col(rows).desc(), F.col(key))
         .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col(rows) / per_task).cast("int").alias("_parts"))
+        .select(key, _parts_for(rows, per_task).alias("_parts"))
     )
 
 
-def join_unique(df: DataFrame, dim: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
+def join_unique(
+    df: DataFrame, dim: DataFrame, key: str, how: str, hot: DataFrame,
+    rows: str | None = None, per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """``df.join(dim, key, how)`` for ``dim`` unique on ``key``; inner, left or left_semi.
 
     Rows of a hot key get one of ``_parts`` part numbers, and the one matching ``dim`` row is
     repeated once per part. Rows without a key match nothing and are spread the same way.
     ``hot`` has at most MAX_HOT_KEYS rows and is broadcast; where it is empty at run time the
-    plan is an ordinary equi-join. A small ``dim`` is broadcast by adaptive execution, which
-    knows its true size.
+    plan is an ordinary equi-join. A small ``dim`` is broadcast by the planner, from its true size.
+
+    ``rows`` names the column of ``dim`` that ``hot`` was made from with the same ``per_task``. It
+    is used instead of a join with ``hot``, and is not in the result.
     """
     hot = F.broadcast(hot)
     # From the row and its partition only, so that a task run again gives each row the same
@@ -43,9 +48,17 @@ def join_unique(df: DataFrame, dim: DataFrame, key: str, how: str, hot: DataFram
         .withColumn("_part", F.pmod(row_hash, parts).cast("int"))
         .drop("_parts")
     )
-    right = dim.join(hot, key, "left").withColumn("_part", _each_part()).drop("_parts")
+    if rows:
+        right = dim.withColumn("_part", _each_part(_parts_for(rows, per_task))).drop(rows)
+    else:
+        right = dim.join(hot, key, "left").withColumn("_part", _each_part(F.coalesce("_parts", F.lit(1))))
+        right = right.drop("_parts")
     return left.join(right, [key, "_part"], how).drop("_part")
 
 
-def _each_part() -> Column:
-    return F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+def _parts_for(rows: str, per_task: int) -> Column:
+    return F.when(F.col(rows) > per_task, F.ceil(F.col(rows) / per_task).cast("int")).otherwise(1)
+
+
+def _each_part(parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), parts - 1))

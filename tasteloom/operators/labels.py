@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 from tasteloom.operators.activity import activity
 from tasteloom.operators.joins import hot_keys, join_unique
 from tasteloom.operators.ordering import with_position
+from tasteloom.sources.scratch import cut
 
 MAX_INDEX = 2**31 - 1
 
 
-def fit_labels(df: DataFrame, column: str) -> DataFrame:
+def fit_labels(df: DataFrame, column: str, at_least: int = 1) -> DataFrame:
     """Index of each name in ``column``: the most frequent is 0, ties in name order.
 
     The same numbers as a fitted StringIndexer, but the names stay in a distributed table;
-    nothing is collected. NULL gets no index.
+    nothing is collected. NULL, and a name with fewer than ``at_least`` rows, gets no index.
     """
     counts = activity(df.where(F.col(column).isNotNull()), column).withColumnRenamed(column, "label")
-    ranked = with_position(counts, [F.col("n").desc(), F.col("label").asc()], "idx")
-    return ranked.select("label", _as_factor_id(F.col("idx")).alias("idx"), "n")
+    ranked = with_position(counts.where(F.col("n") >= at_least), [F.col("n").desc(), F.col("label").asc()], "idx")
+    # A table of its own, so that the planner knows its size when it is joined.
+    return cut(ranked.select("label", _as_factor_id(F.col("idx")).alias("idx"), "n"), "labels")
 
 
 def apply_labels(
@@ -32,8 +34,8 @@ def apply_labels(
     (``skip``) or fails the job (``error``).
     """
     hot = hot_keys(labels.withColumnRenamed("label", column), column)
-    lookup = labels.select(F.col("label").alias(column), F.col("idx").alias("_idx"))
-    found = join_unique(df, lookup, column, "inner" if unseen == "skip" else "left", hot)
+    lookup = labels.select(F.col("label").alias(column), F.col("idx").alias("_idx"), "n")
+    found = join_unique(df, lookup, column, "inner" if unseen == "skip" else "left", hot, "n")
     if unseen == "keep":
         idx = F.coalesce("_idx", labels.agg(F.count(F.lit(1))).scalar())
     elif unseen == "error":

@@ -2,6 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tasteloom.operators.activity import filter_users_then_items
+from tasteloom.operators.clean import clean_nulls, dedup_pairs
 from tasteloom.operators.labels import fit_labels
 from tasteloom.operators.topn import explode_recommendations, topn_by_factors
 from tasteloom.plans import training
@@ -105,6 +107,17 @@ def test_train_and_register(spark, reviews):
     assert Bundle.load(spark, row["path"]).item_labels.count() == 100
 
 
+def test_train_frame_keeps_what_the_filters_keep(spark, reviews):
+    pairs = dedup_pairs(clean_nulls(reviews))
+    want = filter_users_then_items(pairs, 30, 30)
+    frame = training.train_frame(reviews, 30, 30)
+    got = frame.ratings
+    assert 0 < want.count() < pairs.count()
+    assert got.select(*want.columns).exceptAll(want).isEmpty() and got.count() == want.count()
+    for labels, column in ((frame.user_labels, "UserId"), (frame.item_labels, "ProductId")):
+        assert {tuple(r) for r in labels.collect()} == {tuple(r) for r in fit_labels(want, column).collect()}
+
+
 def test_preprocess_fails_on_a_missing_name(spark):
     rows = [(i, "u", None if i == 2 else f"p{i}", 1.0, i) for i in range(4)]
     df = spark.createDataFrame(rows, "Id long, UserId string, ProductId string, Score float, Time long")
