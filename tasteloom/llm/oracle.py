@@ -25,9 +25,9 @@ SQL: dict[str, str] = {
         FROM cut LEFT JOIN (SELECT * FROM fit WHERE best = 1) USING (r)""",
     "op7_norm_topk": """
         WITH fine AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q FROM embeddings
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
             WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-                AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         scored AS (
             SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
             FROM fine a JOIN fine b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteloom.llm import hilbert, simhash, topk, urlfilter
-from tasteloom.llm.common import n_bytes, table
+from tasteloom.llm import decontaminate, hilbert, language, pieces, pii, simhash, topk, toxicity, urlfilter
+from tasteloom.llm.common import id_hash, n_bytes, table
 
 URL_RULES = [
     urlfilter.Rule("allow", "com", "/"),
@@ -17,6 +17,31 @@ URL_RULES = [
 ]
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = pieces.Vocabulary.load()
+    decoded = pieces.with_text(pieces.with_ids(docs, vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+        F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"),
+    )
+
+
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(id_hash("doc_id") % 3 == 1, F.lit(False))
+    model = language.learn(docs.where(~held_out))
+    return docs.select("doc_id", held_out.alias("held_out"), language.predict(F.col("text"), model).alias("p")).select(
+        "doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score"
+    )
+
+
 def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urlfilter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -44,4 +69,28 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-ALL = [op5_url_cascade, op6_hilbert_shards, op7_norm_topk, op8_simhash]
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model | None:
+    """Fitted on the labels of documents whose crc32 leaves a remainder other than 0 by 5."""
+    trains = F.coalesce(id_hash("doc_id") % 5 != 0, F.lit(False))
+    return toxicity.fit(docs, toxicity.training_rows(docs, table(spark, sf_dir, "labels"), trains))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_hash("doc_id") % 5 == 0, F.lit(False))
+    model = toxicity_model(spark, docs, sf_dir)
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_identifiers(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.concat(*pii.KINDS)
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.concat(base, "added")).alias("spans"),
+    )
+
+
+ALL = [op2_sentencepiece, op3_benchmark_leaks, op4_language, op5_url_cascade, op6_hilbert_shards, op7_norm_topk, op8_simhash, op9_toxicity, op10_pii]
