@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteloom.llm import decontaminate, hilbert, language, pieces, pii, simhash, topk, toxicity, urlfilter
+from tasteloom.llm import decontaminate, hilbert, language, pieces, pii, simhash, suffix_dedup, topk, toxicity, urlfilter
 from tasteloom.llm.common import id_hash, n_bytes, table
 
 URL_RULES = [
@@ -17,6 +17,13 @@ URL_RULES = [
 ]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("key").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = pieces.Vocabulary.load()
@@ -93,4 +100,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ALL = [op2_sentencepiece, op3_benchmark_leaks, op4_language, op5_url_cascade, op6_hilbert_shards, op7_norm_topk, op8_simhash, op9_toxicity, op10_pii]
+ALL = [op1_suffix_dedup, op2_sentencepiece, op3_benchmark_leaks, op4_language, op5_url_cascade, op6_hilbert_shards, op7_norm_topk, op8_simhash, op9_toxicity, op10_pii]
