@@ -160,19 +160,28 @@ class ExternalColumns:
     FIELDS = {"symbol": np.uint8, "prefix": np.uint8, "piece": np.int32, "length": np.uint8}
 
     def __init__(self, folder: str, pieces: int):
-        self.folder, self.pieces, self.rows, self.version = folder, pieces, pieces, 0
+        self.pieces, self.rows, self.version = pieces, pieces, 0
+        self.files = {
+            name: [open(os.path.join(folder, f"{name}-{v}"), "w+b", buffering=0) for v in (0, 1)] for name in self.FIELDS
+        }
         start = {
             "symbol": np.full(pieces, END), "prefix": np.zeros(pieces), "piece": np.arange(pieces), "length": np.zeros(pieces)
         }
         for name, values in start.items():
-            values.astype(self.FIELDS[name]).tofile(self._path(name, 0))
+            self.files[name][0].write(values.astype(self.FIELDS[name]))
 
-    def _path(self, name: str, version: int) -> str:
-        return os.path.join(self.folder, f"{name}-{version % 2}")
+    def close(self) -> None:
+        for pair in self.files.values():
+            for file in pair:
+                file.close()
 
     def _read(self, name: str, at: int) -> np.ndarray:
-        kind = np.dtype(self.FIELDS[name])
-        return np.fromfile(self._path(name, self.version), dtype=kind, count=ROWS, offset=at * kind.itemsize)
+        file, kind = self.files[name][self.version], np.dtype(self.FIELDS[name])
+        out = np.empty(min(ROWS, self.rows - at), dtype=kind)
+        file.seek(at * kind.itemsize)
+        if file.readinto(out) != out.nbytes:
+            raise OSError(f"{file.name} is shorter than what was written")
+        return out
 
     def insert(self, at: np.ndarray, symbols: np.ndarray, piece: np.ndarray, length: int) -> np.ndarray:
         """Put symbol i before the suffix in row ``at[i]`` (ascending) and insert the longer suffix.
@@ -240,7 +249,9 @@ class ExternalColumns:
         behind = new_row - np.arange(len(new_row))
         total = self.rows + len(new_row)
         added = {"symbol": np.full(len(who), END), "prefix": new_shared, "piece": who, "length": np.full(len(who), length)}
-        files = {name: open(self._path(name, self.version + 1), "wb") for name in self.FIELDS}
+        files = {name: pair[1 - self.version] for name, pair in self.files.items()}
+        for file in files.values():
+            file.seek(0)
         for a in range(0, self.rows, ROWS):
             b = min(a + ROWS, self.rows)
             i, j = np.searchsorted(behind, a), len(behind) if b == self.rows else np.searchsorted(behind, b)
@@ -257,10 +268,8 @@ class ExternalColumns:
                     values[old[x:y] - a] = old_shared[x:y]
                 out = np.empty(len(stay), dtype=self.FIELDS[name])
                 out[stay], out[places] = values, added[name][i:j]
-                out.tofile(file)
-        for file in files.values():
-            file.close()
-        self.rows, self.version = total, self.version + 1
+                file.write(out)
+        self.rows, self.version = total, 1 - self.version
 
     def clusters(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(heads, piece, length) of rows, in runs that share ``size`` bytes; a run is never divided."""
@@ -293,6 +302,7 @@ def covered_windows(rows: np.ndarray, lengths: np.ndarray, docs: np.ndarray, siz
             hit = np.flatnonzero((length >= size) & (own > least))
             pieces.append(piece[hit].astype(np.int64))
             offsets.append(lengths[piece[hit]].astype(np.int64) - length[hit])
+        files.close()
     return np.concatenate(pieces), np.concatenate(offsets)
 
 
@@ -422,9 +432,9 @@ def bucket_spans(blobs: list[bytes], size: int) -> pd.DataFrame:
     spans = [_frame(doc[by[later]], crc[by[later]], place[by[later]], (place + length)[by[later]])]
     # Anchor of each distinct piece: the least hash within it.
     hashes = np.r_[anchor_hashes(data), np.zeros(ANCHOR, dtype=U64)]
-    edges = np.empty(2 * len(sample), dtype=np.int64)
-    edges[0::2], edges[1::2] = starts[sample], stops[sample] - ANCHOR + 1
-    anchor = np.minimum.reduceat(hashes, edges)[::2]
+    edges = np.empty(2 * len(starts), dtype=np.int64)
+    edges[0::2], edges[1::2] = starts, stops - ANCHOR + 1
+    anchor = np.minimum.reduceat(hashes, edges)[::2][sample]
     sort = np.lexsort((doc[sample], anchor))
     head = np.r_[True, anchor[sort][1:] != anchor[sort][:-1]]
     first = np.flatnonzero(head)
