@@ -73,8 +73,11 @@ def _pieces(part: Column, cuts: list[int]) -> list[Column]:
 
 
 def _entry(kind: int, segment: Column, piece: Column) -> Column:
-    """A lookup key: which table, a whole segment, a piece of the other segment."""
-    return F.struct(F.lit(kind).alias("t"), segment.alias("s"), piece.alias("p"))
+    """A lookup key: which table, a whole segment, a piece of the other segment, as one number.
+
+    Different keys with one number only add lookups, as the distance is verified.
+    """
+    return F.xxhash64(F.lit(kind), segment, piece)
 
 
 THIRDS, HALVES = [0, 11, 22, 32], [0, 16, 32]
@@ -94,20 +97,21 @@ def probe_keys(fp: Column) -> Column:
 
     High segment equal: two bits may differ in the low one, so one of its thirds agrees.
     High segment one bit off, on the ball's surface: one bit may differ in the low one, so a half agrees.
+    The partner that lacks the bit asks for the one that has it, which halves the ball.
     Otherwise the low segment agrees, and two bits differ in the high one.
     """
     high, low = _high(fp), _low(fp)
     same_high = [_entry(i, high, p) for i, p in enumerate(_pieces(low, THIRDS))]
     near_high = [
-        _entry(3 + i, high.bitwiseXOR(F.lit(1 << bit)), p)
+        F.when(high.bitwiseAND(F.lit(1 << bit)) == 0, _entry(3 + i, high.bitwiseOR(F.lit(1 << bit)), p))
         for bit in range(32) for i, p in enumerate(_pieces(low, HALVES))
     ]
     same_low = [_entry(5 + i, low, p) for i, p in enumerate(_pieces(high, THIRDS))]
-    return F.array(*same_high, *near_high, *same_low)
+    return F.array_compact(F.array(*same_high, *near_high, *same_low))
 
 
 def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): pairs of the distinct numbers ``fp`` that differ in at most two bits, a < b as signed.
+    """(a, b): pairs of the distinct numbers ``fp`` that differ in at most two bits, in either order.
 
     A pair found through several keys appears several times. A number has at most 2,080 such
     partners, and the keys hold 43 or more of the 64 bits, so lookups stay small where many
@@ -117,12 +121,11 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         raise ValueError("the tables serve distances up to two bits")
     stored = prints.select(F.col("fp").alias("b"), F.explode(table_keys(F.col("fp"))).alias("k"))
     probes = prints.select(F.col("fp").alias("a"), F.explode(probe_keys(F.col("fp"))).alias("k"))
-    # One number per key instead of three fields keeps shuffled rows short; equal hashes of different
-    # keys only add lookups, as the distance is verified.
-    stored = stored.select("b", F.xxhash64("k.t", "k.s", "k.p").alias("k"))
-    probes = probes.select("a", F.xxhash64("k.t", "k.s", "k.p").alias("k"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    return probes.join(stored, (probes["k"] == stored["k"]) & (F.col("a") < F.col("b")) & near).select("a", "b")
+    once = (F.col("a") < F.col("b")) | (_high(F.col("a")) != _high(F.col("b")))
+    # Merged at every size: both sides grow with the documents.
+    found = probes.hint("merge").join(stored, (probes["k"] == stored["k"]) & (F.col("a") != F.col("b")) & once & near)
+    return found.select("a", "b")
 
 
 def near_duplicates(
