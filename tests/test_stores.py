@@ -43,11 +43,49 @@ def test_lookups(spark):
     recs = recstore.latest(recstore.history(spark, path))
     recstore.write_snapshot(recs, snap, 8)
     for user, want in (("u7", ["p7"]), ("nobody", [])):
-        for row in (serve.point_lookup(recs, user), recstore.snapshot_lookup(spark, snap, user, 8)):
+        for row in (serve.point_lookup(recs, user), recstore.snapshot_lookup(spark, snap, user)):
             assert [r["recommendations"][0]["ProductId"] for r in row.collect()] == want
     assert serve.count_recommendations(recs).first()[0] == 50
 
 
+def test_a_snapshot_knows_its_buckets_and_is_replaced_at_once(spark):
+    snap = scratch_dir(spark, "snapshot")
+    assert recstore.snapshot_lookup(spark, snap, "u1").collect() == []
+    for buckets, product in ((8, "a"), (3, "b")):
+        recstore.write_snapshot(lists(spark, **{f"u{i}": product for i in range(12)}), snap, buckets)
+        got = [recstore.snapshot_lookup(spark, snap, f"u{i}").first() for i in range(12)]
+        assert [r["recommendations"][0]["ProductId"] for r in got] == [product] * 12
+
+
+def test_compaction_changes_nothing_at_any_step(spark, monkeypatch):
+    path = scratch_dir(spark, "store")
+    recstore.create_if_missing(spark, path)
+    recstore.compact(spark, path)
+
+    def now():
+        rows = recstore.current(spark, path).collect()
+        return {r["UserId"]: r["recommendations"][0]["ProductId"] for r in rows}
+
+    assert now() == {}
+    recstore.write_batch(lists(spark, u="a", v="a"), path, 0, 0)
+    recstore.write_batch(lists(spark, u="b"), path, 0, 1)
+    recstore.compact(spark, path)
+    assert now() == {"u": "b", "v": "a"}
+    recstore.write_batch(lists(spark, w="c"), path, 0, 2)
+    want = {"u": "b", "v": "a", "w": "c"}
+    assert now() == want
+    # A compaction that dies after the base is written, before it is named.
+    half = recstore._since(spark, path, recstore._pointer(spark, f"{path}/_current", recstore.BASE_POINTER))
+    recstore._newest(half.limit(1)).write.parquet(f"{path}/_base/v=2")
+    assert now() == want
+    recstore.compact(spark, path)
+    assert now() == want
+    recstore.drop_compacted(spark, path)
+    assert now() == want and recstore.history(spark, path).count() == 0
+    recstore.write_batch(lists(spark, v="d"), path, 1, 0)
+    assert now() == want | {"v": "d"}
+
+
 @pytest.fixture(scope="module")
 def runs(spark):
     rows = [
