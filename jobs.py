@@ -11,7 +11,7 @@ from tasteloom.sources import kafka, recstore, registry
 from tasteloom.sources.replay import read_feed, replay_messages
 from tasteloom.sources.reviews import read_reviews, write_csv
 from tasteloom.streaming.models import CHECK_EVERY, ModelCache
-from tasteloom.streaming.recommender import TOP_N, TRIGGER, start_recommender
+from tasteloom.streaming.recommender import TOP_N, TRIGGER_SECONDS, start_recommender
 
 
 def preprocess(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -31,21 +31,33 @@ def replay(spark: SparkSession, a: argparse.Namespace) -> None:
 def train(spark: SparkSession, a: argparse.Namespace) -> None:
     """Tune, fit, evaluate, save and register a model."""
     reviews = read_reviews(spark, a.reviews, a.multiline)
-    version = training.train_and_register(reviews, a.models, a.runs, a.name, parallelism=a.parallelism)
+    version = training.train_and_register(
+        reviews, a.models, a.runs, a.name, parallelism=a.parallelism, ranks=a.ranks, reg_params=a.reg_params
+    )
     print(f"registered {a.name} version {version}")
 
 
 def recommend(spark: SparkSession, a: argparse.Namespace) -> None:
     """Score the users of rating events until stopped, or once over what is there."""
-    feed = kafka.read_topic(spark, a.servers, a.topic) if a.servers else read_feed(spark, a.feed)
+    limits = {"maxOffsetsPerTrigger": str(a.max_offsets)} if a.max_offsets else {}
+    if a.allow_data_loss:
+        limits["failOnDataLoss"] = "false"
+    feed = kafka.read_topic(spark, a.servers, a.topic, **limits) if a.servers else read_feed(spark, a.feed)
     models = ModelCache(spark, a.runs, a.name, check_every=a.check_every)
-    trigger = {"availableNow": True} if a.once else TRIGGER
+    trigger = {"availableNow": True} if a.once else {"processingTime": f"{a.trigger} seconds"}
     start_recommender(feed, models, a.store, a.checkpoint, a.top_n, a.run_seq, trigger).awaitTermination()
 
 
+def compact(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Fold stored batches into one base table."""
+    recstore.compact(spark, a.store)
+    if a.drop:
+        recstore.drop_compacted(spark, a.store)
+
+
 def snapshot(spark: SparkSession, a: argparse.Namespace) -> None:
     """The newest recommendations as a table for lookups by user."""
-    recstore.write_snapshot(recstore.latest(recstore.history(spark, a.store)), a.out, a.buckets)
+    recstore.write_snapshot(recstore.current(spark, a.store), a.out, a.buckets)
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -72,6 +84,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     sub = command(train, "reviews", "models", "runs")
     sub.add_argument("--name", default=registry.MODEL_NAME)
     sub.add_argument("--parallelism", type=int, default=1)
+    sub.add_argument("--ranks", type=int, nargs="+", default=training.RANKS)
+    sub.add_argument("--reg-params", type=float, nargs="+", default=training.REG_PARAMS)
     sub = command(recommend, "runs", "store", "checkpoint")
     endpoint(sub)
     sub.add_argument("--name", default=registry.MODEL_NAME)
@@ -79,6 +93,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     sub.add_argument("--run-seq", type=int, default=0)
     sub.add_argument("--check-every", type=float, default=CHECK_EVERY)
     sub.add_argument("--once", action="store_true")
+    sub.add_argument("--trigger", type=int, default=TRIGGER_SECONDS, help="seconds between micro-batches")
+    sub.add_argument("--max-offsets", type=int, help="most Kafka records per micro-batch (default: no limit)")
+    sub.add_argument("--allow-data-loss", action="store_true", help="skip expired Kafka offsets instead of failing")
+    command(compact, "store").add_argument("--drop", action="store_true", help="delete batches the base holds")
     command(snapshot, "store", "out").add_argument("--buckets", type=int, default=64)
     return parser.parse_args(argv)
 

@@ -18,7 +18,7 @@ def min_activity(df: DataFrame, key: str, at_least: int, per_task: int = ROWS_PE
     counts = activity(df, key)
     active = counts.where(F.col("n") >= at_least)
     hot = hot_keys(counts, key, per_task=per_task)
-    return join_unique(df, active, key, "left_semi", hot, "n", per_task).select(*df.columns)
+    return join_unique(df, active, key, "left_semi", hot, "n").select(*df.columns)
 
 
 def filter_users_then_items(df: DataFrame, users: int = 5, items: int = 5) -> DataFrame:

@@ -36,12 +36,14 @@ def rate_by(df: DataFrame, ts: str, by: str, seconds: int, step: int | None = No
 def stream_rate_by(df: DataFrame, ts: str, by: str, window: str, late: str) -> DataFrame:
     """(window_start, by, n) on a stream: tumbling windows closed once ``late`` has passed.
 
-    A watermark needs a TIMESTAMP, so a TIMESTAMP_NTZ is converted for the window and its start
-    is converted back.
+    A watermark needs a TIMESTAMP. It is made from the seconds of the wall clock, and the start of the
+    window is turned back the same way, so that no change of the session's zone joins two windows.
     """
-    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    seconds = F.timestamp_seconds(F.unix_timestamp(F.col(ts).cast("timestamp_ntz")))
+    timed = df.withColumn(ts, seconds).withWatermark(ts, late)
     counts = timed.groupBy(F.window(ts, window).alias("w"), by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), by, "n")
+    start = F.timestamp_add("SECOND", F.unix_seconds("w.start"), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return counts.select(start.alias("window_start"), by, "n")
 
 
 def histogram(df: DataFrame, value: str, by: Sequence[str], bounds: Sequence[float] = LATENCY_BOUNDS) -> DataFrame:

@@ -13,8 +13,9 @@ from tasteloom.sources import recstore
 from tasteloom.sources.replay import parse_messages
 from tasteloom.streaming.models import ModelCache
 
-# Pace of the stream and length of a stored list.
-TRIGGER = {"processingTime": "120 seconds"}
+# Seconds between micro-batches, unless the job says otherwise, and length of a stored list.
+TRIGGER_SECONDS = 120
+TRIGGER = {"processingTime": f"{TRIGGER_SECONDS} seconds"}
 TOP_N = 5
 
 

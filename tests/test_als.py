@@ -5,13 +5,24 @@ from pyspark.sql import functions as F
 from tasteloom.operators.activity import filter_users_then_items
 from tasteloom.operators.clean import clean_nulls, dedup_pairs
 from tasteloom.operators.labels import fit_labels
-from tasteloom.operators.topn import explode_recommendations, topn_by_factors
+from tasteloom.operators.topn import topn_by_factors
 from tasteloom.plans import training
 from tasteloom.plans.bundle import Bundle
 from tasteloom.sources import registry
 from tasteloom.sources.scratch import cut, scratch_dir
 
 
+def explode_recommendations(recommendations: DataFrame) -> DataFrame:
+    """Rows (user_index, rank, item_index, score) from the array form ``recommendForUserSubset`` gives."""
+    rec = F.posexplode("recommendations").alias("pos", "rec")
+    return recommendations.select("user_index", rec).select(
+        F.col("user_index").cast("long").alias("user_index"),
+        (F.col("pos") + 1).alias("rank"),
+        F.col("rec.item_index").cast("long").alias("item_index"),
+        F.col("rec.rating").cast("double").alias("score"),
+    )
+
+
 @pytest.fixture(scope="module")
 def reviews(spark):
     """200 users, 100 items, rank 3 (the mean and two factors) plus a little noise, 30 % observed."""
@@ -66,10 +77,18 @@ def test_same_seed_same_model(indexed, model):
     assert one == pytest.approx(two, abs=1e-3)
 
 
-def test_blocks_grow_with_the_ratings(indexed, monkeypatch):
-    assert training.blocks_for(indexed) == {"numUserBlocks": 10, "numItemBlocks": 10}
-    monkeypatch.setattr(training, "RATINGS_PER_BLOCK", 100)
-    assert training.blocks_for(indexed)["numUserBlocks"] == indexed.count() // 100 + 1
+@pytest.mark.parametrize("ratings, users, items, want", [
+    (10**6, 10**4, 10**3, (10, 10)),
+    (10**9, 10**8, 10**6, (200, 10)),
+    (10**12, 10**9, 10**7, (512, 20)),
+])
+def test_blocks_follow_each_side_and_stay_bounded(ratings, users, items, want):
+    got = training.blocks_for(ratings, users, items)
+    assert (got["numUserBlocks"], got["numItemBlocks"]) == want
+
+
+def test_sizes_come_from_one_pass(indexed):
+    assert training.sizes_of(indexed) == (indexed.count(), 200, 100)
 
 
 def test_tuning_reports_the_winner(indexed):

@@ -9,6 +9,7 @@ from tasteloom.operators.topn import collect_lists, name_items
 TEXTS = [
     ('[{"ProductId":"B1","score":4.5},{"item_index":7,"rating":1.0},"raw"]', ["B1", "7", "raw"]),
     ("oops", []), ("[]", []), ('[{"item_index":null,"ProductId":"x"}]', ["None"]), ('[{"ProductId":null}]', ["None"]),
+    ('["a","b"] x', []), ('["a"]]', []), ('["a"]}', []), ('["a"],["b"]', []), ("", []), (' ["a"] ', ["a"]),
     ("[null, 3]", ["None", "3"]), ('[{"a":1}]', ['{"a":1}']), (None, []),
 ]
 

@@ -51,7 +51,10 @@ def test_replay_needs_its_columns(spark):
 def test_kafka_options():
     read = kafka.read_options("h:1", maxOffsetsPerTrigger="10")
     assert read["subscribe"] == "user-ratings" and read["startingOffsets"] == "earliest"
-    assert read["maxOffsetsPerTrigger"] == "10" and read["failOnDataLoss"] == "false"
+    assert read["maxOffsetsPerTrigger"] == "10"
+    # Nothing is lost in silence, and nothing held back, unless asked for.
+    assert not {"failOnDataLoss", "maxOffsetsPerTrigger"} & set(kafka.read_options("h:1"))
+    assert kafka.read_options("h:1", **kafka.SMALL_DEPLOYMENT)["failOnDataLoss"] == "false"
     write = kafka.write_options("h:1", "t")
     assert write["topic"] == "t" and write["kafka.acks"] == "all" and write["kafka.retries"] == "5"
     assert write["kafka.linger.ms"] == "10"

@@ -64,3 +64,22 @@ def test_gauge_sum_matches_whole_names(spark):
     got = metrics.gauge_sum(df, "pod", ["container"], "v", ["t"], "airflow.*|kafka.*|spark.*")
     assert [tuple(r) for r in got.collect()] == [("spark-1", 8.0)]
     assert not math.isnan(got.first()["total"])
+
+
+def test_stream_windows_ignore_the_session_zone(spark, tmp_path):
+    """02:30 does not exist in New York on that day; it must not share a window with 03:30."""
+    rows = spark.sql("""SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-03-10 02:30:00', 'a'),
+        (TIMESTAMP_NTZ'2024-03-10 03:30:00', 'a'), (TIMESTAMP_NTZ'2024-03-10 06:30:00', 'a') AS t(ts, who)""")
+    rows.write.parquet(str(tmp_path / "in"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        counts = metrics.stream_rate_by(stream, "ts", "who", "1 hour", "0 seconds")
+        query = counts.writeStream.format("memory").queryName("zones").outputMode("complete").start()
+        query.processAllAvailable()
+        query.stop()
+        got = {(str(r["window_start"]), r["n"]) for r in spark.table("zones").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {("2024-03-10 02:00:00", 1), ("2024-03-10 03:00:00", 1), ("2024-03-10 06:00:00", 1)}

@@ -168,15 +168,21 @@ SQL: dict[str, str] = {
         SELECT "UserId", 0 AS pos, arg_max("ProductId", batch) AS "ProductId",
                round(arg_max(score, batch), 6) AS score
         FROM lists GROUP BY 1""",
-    "serve_point_lookup": f"""WITH {BEST} SELECT "UserId", CAST(rank - 1 AS INTEGER) AS pos, "ProductId", score FROM stored
+    "serve_point_lookup": f"""WITH {BEST} SELECT "UserId", CAST(rank - 1 AS INTEGER) AS pos, "ProductId", score FROM best
         WHERE "UserId" = '7'""",
     "serve_lookup_fallback": f"""WITH {BEST}, lists AS (
           SELECT "UserId", string_agg("ProductId", '|' ORDER BY rank) AS items FROM stored GROUP BY 1)
         SELECT event_id, CAST(user_id AS VARCHAR) AS "UserId", coalesce(lists.items, popular.items) AS items
         FROM events CROSS JOIN popular LEFT JOIN lists ON "UserId" = CAST(user_id AS VARCHAR)""",
+    "serve_lookup_text": f"""WITH {BEST}, lists AS (
+          SELECT "UserId", CASE WHEN CAST("UserId" AS BIGINT) % 7 = 3 THEN ''
+                 ELSE string_agg("ProductId", '|' ORDER BY rank) END AS items
+          FROM best WHERE CAST("UserId" AS BIGINT) % 5 <> 1 GROUP BY 1)
+        SELECT event_id, CAST(user_id AS VARCHAR) AS "UserId", coalesce(lists.items, popular.items) AS items
+        FROM events CROSS JOIN popular LEFT JOIN lists ON "UserId" = CAST(user_id AS VARCHAR)""",
     "serve_empty_table": f"""WITH {BEST} SELECT CAST(c_custkey AS VARCHAR) AS "UserId", items
         FROM customer CROSS JOIN popular""",
-    "recs_count": f"""WITH {BEST} SELECT count(DISTINCT "UserId") AS total_recommendations FROM stored""",
+    "recs_count": f"""WITH {BEST} SELECT count(DISTINCT "UserId") AS total_recommendations FROM best""",
     "registry_latest": f"""WITH {RUNS} SELECT name, version, stage, rank, round("regParam", 6) AS "regParam", path
         FROM runs WHERE stage <> 'Archived' QUALIFY row_number() OVER (PARTITION BY name ORDER BY version DESC) = 1""",
     "registry_versions": f"WITH {RUNS} SELECT name, stage, max(version) AS version FROM runs GROUP BY 1, 2",
@@ -215,4 +221,5 @@ SQL: dict[str, str] = {
               UNION ALL SELECT * FROM ({_dot(-1)}) WHERE user_index IN (SELECT u FROM again))
         WHERE user_index IN (SELECT user_id * 5 FROM events)""",
 }
+SQL["upsert_compacted"] = SQL["upsert_latest"]
 SQL["serve_snapshot_lookup"] = SQL["serve_point_lookup"]

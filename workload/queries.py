@@ -24,19 +24,19 @@ def ratings_from_orders(spark: SparkSession, sf: str) -> DataFrame:
     return t.reviews(spark, sf)
 
 
-def _csv_and_back(table: DataFrame) -> DataFrame:
+def _csv_and_back(table: DataFrame, multiline: bool) -> DataFrame:
     path = scratch_dir(table.sparkSession, "csv")
     write_csv(table, path)
-    return read_csv(table.sparkSession, path, table.schema, multiline=True)
+    return read_csv(table.sparkSession, path, table.schema, multiline=multiline)
 
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    return _csv_and_back(t.table(spark, sf, "part"))
+    return _csv_and_back(t.table(spark, sf, "part"), multiline=False)
 
 
 def csv_roundtrip_text(spark: SparkSession, sf: str) -> DataFrame:
     """Whole document texts: quotes, commas and line breaks inside fields."""
-    return _csv_and_back(t.table(spark, sf, "documents"))
+    return _csv_and_back(t.table(spark, sf, "documents"), multiline=True)
 
 
 def replay_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,12 +216,13 @@ def _best_rated(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _stored(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored lists of the users with at least 40 reviews."""
-    keen = activity.min_activity(t.reviews(spark, sf), "UserId", 40)
+def _stored(spark: SparkSession, sf: str, at_least: int = 1) -> DataFrame:
+    """Stored lists of the users with at least so many reviews."""
+    reviews = t.reviews(spark, sf)
+    keen = activity.min_activity(reviews, "UserId", at_least) if at_least > 1 else reviews
     path = scratch_dir(spark, "store")
     recstore.write_batch(topn.collect_lists(_best_rated(keen)), path, 0, 0)
-    return recstore.latest(recstore.history(spark, path))
+    return recstore.current(spark, path)
 
 
 def recs_label_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,16 +277,37 @@ def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
     return t.flat(recstore.latest(recstore.history(spark, path)))
 
 
+def upsert_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same batches, folded into a base after the second and again after the third."""
+    events = t.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("UserId"), "event_type", "value",
+        F.pmod("event_id", F.col("user_id") % 4 + 1).alias("batch"),
+    )
+    lists = cut(events.groupBy("batch", "UserId").agg(F.array(F.struct(
+        F.max("event_type").alias("ProductId"), F.max("value").alias("score"))).alias("recommendations")), "lists")
+    path = scratch_dir(spark, "store")
+    recstore.create_if_missing(spark, path)
+    for batch in (0, 1, 2, 3):
+        recstore.write_batch(lists.where(F.col("batch") == batch), path, 0, batch)
+        if batch in (1, 2):
+            recstore.compact(spark, path)
+    recstore.drop_compacted(spark, path)
+    return t.flat(recstore.current(spark, path))
+
+
 # Serving
 
 def serve_point_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return t.flat(serve.point_lookup(_stored(spark, sf), "7"))
+    """A customer who has a list, and one who does not exist."""
+    stored = _stored(spark, sf)
+    return t.flat(serve.point_lookup(stored, "7").unionByName(serve.point_lookup(stored, "nobody")))
 
 
 def serve_snapshot_lookup(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "snapshot")
     recstore.write_snapshot(_stored(spark, sf), path, 8)
-    return t.flat(recstore.snapshot_lookup(spark, path, "7", 8))
+    found = [recstore.snapshot_lookup(spark, path, user) for user in ("7", "nobody")]
+    return t.flat(found[0].unionByName(found[1]))
 
 
 def _popular_names(spark: SparkSession, sf: str) -> list[str]:
@@ -294,7 +316,19 @@ def _popular_names(spark: SparkSession, sf: str) -> list[str]:
 
 def serve_lookup_fallback(spark: SparkSession, sf: str) -> DataFrame:
     requests = t.table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("UserId"))
-    served = serve.lookup(requests, _stored(spark, sf), serve.item_names(), _popular_names(spark, sf))
+    served = serve.lookup(requests, _stored(spark, sf, 40), serve.item_names(), _popular_names(spark, sf))
+    return served.select("event_id", "UserId", F.array_join("recommendations", "|").alias("items"))
+
+
+def serve_lookup_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists stored as JSON text, some unreadable, some missing; each event asks for its user's."""
+    lists = topn.collect_lists(_best_rated(t.reviews(spark, sf)))
+    number = F.col("UserId").cast("long")
+    text = F.when(number % 7 == 3, F.concat(encode_recommendations(F.col("recommendations")), F.lit(" x"))).otherwise(
+        encode_recommendations(F.col("recommendations")))
+    stored = lists.where(number % 5 != 1).select("UserId", text.alias("recommendations"))
+    requests = t.table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("UserId"))
+    served = serve.lookup(requests, stored, served_items(F.col("recommendations")), _popular_names(spark, sf))
     return served.select("event_id", "UserId", F.array_join("recommendations", "|").alias("items"))
 
 
@@ -438,8 +472,8 @@ ALL = [
     label_index_users, label_index_items, index_unseen_keep, known_users, holdout_split, replay_split,
     preprocess_frame, train_frame, train_frame_40_20,
     rmse_eval, topn_factor_dot, recommend_als, tune_als, als_save_load,
-    recs_label_lookup, recs_json, recs_format, upsert_latest,
-    serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_empty_table, recs_count,
+    recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted,
+    serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_lookup_text, serve_empty_table, recs_count,
     registry_latest, registry_versions, registry_metrics,
     rate_by_handler, rate_by_handler_5m, p99_histogram, p99_exact, gauge_sum_by_group,
     stream_parse, stream_rate_by_handler, stream_recommend, stream_model_swap,
