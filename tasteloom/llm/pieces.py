@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -26,6 +27,8 @@ NONE = np.iinfo(np.int32).max
 # Characters of distinct segments indexed at once, and segments remembered by a task.
 INDEX_CHARS = 1 << 18
 REMEMBERED = 1 << 19
+# Characters of texts taken at once: their segments are Python strings.
+PORTION_CHARS = 1 << 20
 # Longer segments are relaxed with a heap, shorter ones all together.
 SHORT = 48
 
@@ -286,25 +289,46 @@ class Decoder:
         return joined.decode("utf-8", "surrogatepass").removeprefix(" ")
 
 
-def with_ids(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", name: str = "ids") -> DataFrame:
+def portions(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose rows, of the given sizes, add up to about PORTION_CHARS."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= PORTION_CHARS or i + 1 == len(sizes):
+            yield batch.slice(start, i + 1 - start)
+            start, total = i + 1, 0
+
+
+def with_ids(
+    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", name: str = "ids", check: str | None = None
+) -> DataFrame:
     """``docs`` with the piece ids of each whole text; null for null, an empty array for empty texts.
 
     The ids are those of the public library for the same model. Characters outside the
     vocabulary are written as byte pieces, so that decoding gives back every text, but for the
     format's own word mark (U+2581), which comes back as a space. Columns called ``name`` are replaced. One pass without a shuffle.
+
+    ``check`` names a boolean column: whether decoding the ids gives back the text.
     """
-    kept = docs.select(*[c for c in docs.columns if c != name])
-    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
+    kept = docs.select(*[c for c in docs.columns if c not in (name, check)])
+    added = [T.StructField(name, T.ArrayType(T.IntegerType()))] + ([T.StructField(check, T.BooleanType())] if check else [])
+    schema = T.StructType([*kept.schema.fields, *added])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            flat, sizes = encoder.encode(texts)
-            absent = np.array([t is None for t in texts] + [False])
-            offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32), mask=absent)
-            ids = pa.ListArray.from_arrays(offsets, pa.array(flat, type=pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, name])
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+        for whole in batches:
+            column = whole.column(whole.schema.get_field_index(text))
+            for batch in portions(whole, pc.fill_null(pc.utf8_length(column), 0).to_pylist()):
+                texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+                flat, sizes = encoder.encode(texts)
+                absent = np.array([t is None for t in texts] + [False])
+                ends = np.r_[0, np.cumsum(sizes)]
+                offsets = pa.array(ends.astype(np.int32), mask=absent)
+                out = [pa.ListArray.from_arrays(offsets, pa.array(flat, type=pa.int32()))]
+                if check:
+                    pairs = zip(texts, ends[:-1].tolist(), ends[1:].tolist())
+                    out.append(pa.array([t is None or decoder.decode(flat[a:b]) == t for t, a, b in pairs], type=pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*batch.schema.names, *schema.names[-len(out):]])
 
     return kept.mapInArrow(encode, schema)
 
@@ -316,9 +340,12 @@ def with_text(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(vocabulary)
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            texts = [decoder.decode(column[i].values.to_numpy() if column[i].is_valid else None) for i in range(len(column))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, type=pa.string())], names=[*batch.schema.names, name])
+        for whole in batches:
+            column = whole.column(whole.schema.get_field_index(ids))
+            for batch in portions(whole, pc.fill_null(pc.list_value_length(column), 0).to_pylist()):
+                rows = batch.column(batch.schema.get_field_index(ids))
+                texts = [decoder.decode(row.values.to_numpy() if row.is_valid else None) for row in rows]
+                names = [*batch.schema.names, name]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, type=pa.string())], names=names)
 
     return kept.mapInArrow(decode, schema)
