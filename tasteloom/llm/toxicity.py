@@ -32,7 +32,7 @@ PREFIXES = (4, 5, 6, 7)
 # Most mined words and prefixes that are features, and the first of them that are voters.
 MINED, MINED_VOTERS = 256, 48
 LEAST_DOCS, LEAST_Z = 4, 3.0
-# Bound of the labelled rows that the classifier is fitted on.
+# Bound of the labelled rows that lexicon and classifier are fitted on.
 SAMPLE = 20_000
 ROUNDS = 8
 LABEL_ACCURACY = 0.98
@@ -137,7 +137,7 @@ def vote(found: list[int], shape: list[float], lexicons: dict[int, int], mined:
 def mine(labelled: DataFrame, text: str, label: str) -> list[str]:
     """The feature words that most surely go with the label, by the z-score of their log odds.
 
-    Document counts run over all labelled rows; only the list, at most MINED long, comes back.
+    Document counts run over all rows of ``labelled``; only the list, at most MINED long, comes back.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,14 +161,17 @@ def mine(labelled: DataFrame, text: str, label: str) -> list[str]:
     return [r["w"] for r in top.orderBy(F.col("z").desc(), "w").limit(MINED).collect()]
 
 
-def fit(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model | None:
+def fit(
+    docs: DataFrame, labels: DataFrame, trains: Column, key: str = "doc_id", text: str = "text", label: str = "toxic",
+    sample: int = SAMPLE,
+) -> Model | None:
     """A model from texts and, of some of them, labels 0 or 1; None where a class has no example.
 
-    ``docs``: all texts, from which the voters' statistics come. ``labelled``: the training rows with
-    ``text`` and ``label``; rows without a label are left out. The classifier is fitted on
-    at most SAMPLE of them, those of smallest text hash, so that the choice does not depend on the order.
+    ``docs``: all texts, from which the voters' statistics come. ``labels`` (key, label): learned
+    from are rows where ``trains`` holds, at most ``sample`` of them, those of smallest key hash, so
+    that the choice does not depend on the order. Rows without a key or a label are left out.
     """
-    labelled = labelled.where(F.col(label).isNotNull()).select(text, label)
+    labelled = training_rows(docs, labels, trains, key, text, label, sample)
     mined = mine(labelled, text, label)
     fixed = list(dict.fromkeys(w for words in LEXICONS.values() for w in words.split()))
     words = tuple(mined + [w for w in fixed if w not in set(mined)])
@@ -190,8 +193,7 @@ def fit(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "
 
     looked = F.pandas_udf(look, FEATURES)(F.col(text))
     votes = cut(docs.select(looked["votes"].alias("votes")).groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "votes")
-    sample = labelled.select(text, F.col(label).cast("int").alias("y")).orderBy(F.xxhash64(text), F.col(text), "y").limit(SAMPLE)
-    rows = cut(sample.select("y", looked.alias("x")), "sample").select("y", "x.*").toPandas()
+    rows = labelled.select(F.col(label).cast("int").alias("y"), looked.alias("x")).select("y", "x.*").toPandas()
     if rows["y"].nunique() < 2:
         return None
     truth = rows["y"].to_numpy(dtype=float)
@@ -298,12 +300,16 @@ def score(text: Column, model: Model | None) -> Column:
 
 
 def training_rows(
-    docs: DataFrame, labels: DataFrame, trains: Column, key: str = "doc_id", text: str = "text", label: str = "toxic"
+    docs: DataFrame, labels: DataFrame, trains: Column, key: str, text: str, label: str, sample: int
 ) -> DataFrame:
-    """(text, label) of the labelled documents for which ``trains`` holds; other columns stay behind.
+    """(text, label) of at most ``sample`` labelled documents.
 
-    A document with several labels counts once per label.
+    The keys are chosen before the texts are met, so that what is broadcast is bounded by ``sample``, and
+    no text is shuffled for the join. Of documents that repeat a key one counts, and of labels the highest.
     """
-    named = labels.select(F.col(key).alias("_key"), F.col(label).alias("_label")).where("_key is not null")
-    own = docs.where(trains).select(F.col(key).alias("_key"), F.col(text).alias(text))
-    return own.join(named, "_key").select(text, F.col("_label").alias(label))
+    named = labels.where(trains & F.col(key).isNotNull() & F.col(label).isNotNull())
+    named = named.groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
+    chosen = cut(named.orderBy(F.xxhash64("_key"), "_key").limit(sample), "labelled")
+    own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = own.join(F.broadcast(chosen), "_key").groupBy("_key").agg(F.min("_text").alias(text), F.first("_label").alias(label))
+    return cut(rows.select(text, label), "training")
