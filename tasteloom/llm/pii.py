@@ -247,3 +247,18 @@ def masked(text: Column, spans: Column) -> Column:
         lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(body, a["at"] + 1, F.length(body))),
     )
     return F.when(F.size(spans) == 0, text).otherwise(joined)
+
+
+def with_masked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with every identifier in ``text`` replaced by its kind in brackets; all rows stay.
+
+    Null texts stay null. Repeated rows are masked alike.
+    """
+    found = with_identifiers(docs, key, text)
+    spans = F.concat(*KINDS, "added")
+    held = found.where(F.size(spans) > 0).select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash"), spans.alias("_spans"))
+    held = held.dropDuplicates(["_key", "_hash"])
+    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    joined = hashed.join(held, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_hash")), "left")
+    masked_text = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(masked(F.col(text), F.col("_spans")))
+    return joined.withColumn(text, masked_text).select(*docs.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tasteloom.llm import decontaminate, hilbert, language, pieces, pii, simhash, suffix_dedup, topk, toxicity, urlfilter
 from tasteloom.llm.common import id_hash, n_bytes, table
 
@@ -26,12 +27,8 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    vocabulary = pieces.Vocabulary.load()
-    decoded = pieces.with_text(pieces.with_ids(docs, vocabulary), vocabulary)
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
-        F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"),
-    )
+    encoded = pieces.with_ids(docs, pieces.Vocabulary.load(), check="round_trip")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
 
 
 def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,16 +73,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model | None:
-    """Fitted on the labels of documents whose crc32 leaves a remainder other than 0 by 5."""
-    trains = F.coalesce(id_hash("doc_id") % 5 != 0, F.lit(False))
-    return toxicity.fit(docs, toxicity.training_rows(docs, table(spark, sf_dir, "labels"), trains))
-
-
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(id_hash("doc_id") % 5 == 0, F.lit(False))
-    model = toxicity_model(spark, docs, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -100,4 +91,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ALL = [op1_suffix_dedup, op2_sentencepiece, op3_benchmark_leaks, op4_language, op5_url_cascade, op6_hilbert_shards, op7_norm_topk, op8_simhash, op9_toxicity, op10_pii]
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+ALL = [op1_suffix_dedup, op2_sentencepiece, op3_benchmark_leaks, op4_language, op5_url_cascade, op6_hilbert_shards, op7_norm_topk, op8_simhash, op9_toxicity, op10_pii, pipeline]

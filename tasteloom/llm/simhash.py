@@ -151,3 +151,137 @@ def near_duplicates(
 def hex_digits(fp: Column) -> Column:
     """The unsigned number in 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+# Groups of similar texts. Fingerprints are longer here, as a similarity of 0.8 leaves one bit in seven
+# different: the first bits are looked up by segments, all of them tell the distance.
+SEGMENTS, SEGMENT_BITS, LONG_BITS = 24, 24, 2048
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
+
+
+def most_bits(similarity: float, bits: int = LONG_BITS) -> int:
+    """Bits that fingerprints of texts of this Jaccard similarity differ in, on average.
+
+    Two sets of one size and Jaccard similarity J have the cosine 2J / (1 + J), and each bit
+    differs with the angle's share of a half turn.
+    """
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return round(bits * share)
+
+
+def long_fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> bytes:
+    """LONG_BITS bits over the distinct word shingles; all zero without words."""
+    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not tokens:
+        return bytes(LONG_BITS // 8)
+    shingles = {b" ".join(tokens)} if len(tokens) < words else set(map(b" ".join, zip(*(tokens[i:] for i in range(words)))))
+    digest = xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype=np.uint64, count=len(shingles))
+    ones = np.zeros(LONG_BITS, dtype=np.int64)
+    factors = np.arange(1, LONG_BITS // 32, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for start in range(0, len(hashes), 255):  # sums of so many bits fit in a byte
+        h = hashes[start : start + 255, None]
+        with np.errstate(over="ignore"):
+            h = (h ^ (h >> np.uint64(29))) * factors
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+        ones += np.unpackbits(h.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes)).tobytes()
+
+
+def segment_keys(fp: bytes) -> tuple[list[int], list[int]]:
+    """(keys of the segments, keys one bit away that have a bit more), each with its segment's number."""
+    width = SEGMENT_BITS // 8
+    own, near = [], []
+    for i in range(SEGMENTS):
+        value = int.from_bytes(fp[i * width : (i + 1) * width], "big")
+        tag = i << SEGMENT_BITS
+        own.append(tag | value)
+        near.extend(tag | value | 1 << b for b in range(SEGMENT_BITS) if not value >> b & 1)
+    return own, near
+
+
+def _differs(a: Column, b: Column) -> Column:
+    """Number of different bits of two binary columns of one length."""
+
+    @F.pandas_udf("int")
+    def count(x: pd.Series, y: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype="int32")
+        left = np.frombuffer(b"".join(x), dtype=np.uint8).reshape(len(x), -1)
+        right = np.frombuffer(b"".join(y), dtype=np.uint8).reshape(len(y), -1)
+        return pd.Series(np.bitwise_count(left ^ right).sum(axis=1).astype(np.int32))
+
+    return count(a, b)
+
+
+def similar_groups(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
+) -> DataFrame:
+    """(key, group): for each key the smallest key of its group of similar texts.
+
+    Multi-index hashing over SEGMENTS tables: a text is looked up by each segment and by the ball of one bit
+    around it, and complete fingerprints decide. In a table entry, texts are held against the smallest key; those
+    unlike it go on among themselves until none is left, so a group of n texts costs n
+    comparisons per table and not n squared. Rows without a key take no part. Equal fingerprints are one entry; texts without words
+    are alike. Rows of one key must have one text, or their groups are joined. An empty table gives no rows.
+    """
+    own = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+
+    def prints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([long_fingerprint(t, words) for t in batch])
+
+    prints_of = own.select("key", F.pandas_udf(prints, "binary")(F.col("text")).alias("fp"))
+    marked = cut(prints_of, "prints")
+    entries = cut(marked.groupBy("fp").agg(F.min("key").alias("id")), "entries")
+
+    def keys(fps: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in fps:
+            pairs = [segment_keys(fp) for fp in batch]
+            yield pd.DataFrame({"own": [p[0] for p in pairs], "near": [p[1] for p in pairs]})
+
+    looked = entries.select("id", F.pandas_udf(keys, "own array<long>, near array<long>")(F.col("fp")).alias("k"))
+    stored = looked.select("id", F.explode("k.own").alias("k"))
+    rows = looked.select("id", F.explode(F.concat(
+        F.transform("k.own", lambda k: F.struct(k.alias("k"), F.lit(True).alias("own"))),
+        F.transform("k.near", lambda k: F.struct(k.alias("k"), F.lit(False).alias("own"))),
+    )).alias("r")).select("id", "r.k", "r.own")
+    most, links = most_bits(similarity), None
+    while True:
+        least = cut(stored.groupBy("k").agg(F.min("id").alias("to")), "least")
+        met = rows.hint("merge").join(least, "k").where(F.col("id") != F.col("to"))
+        met = cut(met.select("k", "id", "own", "to"), "met")
+        if met.isEmpty():
+            break
+        asked = met.select("id", "to").distinct()
+        both = asked.join(entries.withColumnRenamed("fp", "x"), "id").join(
+            entries.select(F.col("id").alias("to"), F.col("fp").alias("y")), "to"
+        )
+        near = cut(both.where(_differs(F.col("x"), F.col("y")) <= most).select(F.col("id").alias("a"), F.col("to").alias("b")), "links")
+        links = near if links is None else links.unionByName(near)
+        known = near.select(F.col("a").alias("id"), F.col("b").alias("to"))
+        rows = cut(met.join(known, ["id", "to"], "left_anti").select("id", "k", "own"), "rest")
+        stored = rows.where("own").select("id", "k")
+    if links is None:
+        roots = entries.select(F.col("id").alias("v"), F.col("id").alias("root"))
+    else:
+        roots = components(links.distinct(), entries.select(F.col("id").alias("v")))
+    groups = entries.join(roots.withColumnRenamed("v", "id"), "id").select("fp", F.col("root").alias("group"))
+    return marked.join(groups, "fp").groupBy("key").agg(F.min("group").alias("group")).select(F.col("key").alias(key), "group")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` that are the smallest of their group of similar texts, columns unchanged.
+
+    Rows without a key stay. Of rows that repeat a key, one stays.
+    """
+    groups = similar_groups(docs, key, text, **how)
+    gone = groups.where(F.col("group") < F.col(key)).select(F.col(key).alias("_gone"))
+    kept = docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
+    twice = cut(docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice")
+    if twice.isEmpty():
+        return kept
+    again = twice.select(F.col(key).alias("_again"))
+    once = kept.join(again, kept[key] == F.col("_again"), "left_anti")
+    return once.unionByName(kept.join(again, kept[key] == F.col("_again"), "left_semi").dropDuplicates([key]))
