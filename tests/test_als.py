@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tasteloom.operators.activity import filter_users_then_items
 from tasteloom.operators.clean import clean_nulls, dedup_pairs
@@ -10,6 +10,7 @@ from tasteloom.plans import training
 from tasteloom.plans.bundle import Bundle
 from tasteloom.sources import registry
 from tasteloom.sources.scratch import cut, scratch_dir
+from workload.queries import als_predict, list_checks
 
 
 def explode_recommendations(recommendations: DataFrame) -> DataFrame:
@@ -142,3 +143,20 @@ def test_preprocess_fails_on_a_missing_name(spark):
     df = spark.createDataFrame(rows, "Id long, UserId string, ProductId string, Score float, Time long")
     with pytest.raises(Exception, match="no index for ProductId"):
         training.preprocess(df).ratings.collect()
+
+
+def test_list_checks_turn_false_on_broken_lists(spark):
+    rows = [
+        ("good", 1, "a", 3.0), ("good", 2, "b", 3.0), ("good", 3, "c", 1.0),
+        ("rising", 1, "a", 1.0), ("rising", 2, "b", 2.0), ("gap", 1, "a", 2.0), ("gap", 3, "b", 1.0),
+        ("twice", 1, "a", 2.0), ("twice", 2, "a", 1.0),
+    ]
+    lists = list_checks(spark.createDataFrame(rows, "UserId string, rank int, ProductId string, score double"))
+    got = {r["UserId"]: (r["n_items"], r["in_order"], r["distinct_items"]) for r in lists.collect()}
+    assert got == {"good": (3, True, True), "rising": (2, False, True), "gap": (2, False, True), "twice": (2, True, False)}
+
+
+def test_a_broken_model_does_not_beat_the_mean(spark, monkeypatch):
+    fit = training.fit
+    monkeypatch.setattr(training, "fit", lambda train, **how: fit(train, rank=1, regParam=50.0, maxIter=1))
+    assert als_predict(spark, "/root/testdata/sf0.001").first()["beats_mean"] is False

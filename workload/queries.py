@@ -162,11 +162,24 @@ def topn_factor_dot(spark: SparkSession, sf: str) -> DataFrame:
     return topn.topn_by_factors(vectors, vectors, 5)
 
 
-def _trained(spark: SparkSession, sf: str) -> tuple[Bundle, DataFrame]:
+def als_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Fit on planted scores, score the held-out rows; users and items unknown to the model drop out."""
+    ratings = cut(t.planted_ratings(spark, sf), "planted")
+    bucket = (F.col("user_index") * 31 + F.col("item_index")) % 100
+    train, test = cut(ratings.where(bucket < 60), "train"), ratings.where(bucket >= 60)
+    model = training.fit(train, rank=3, regParam=0.1, maxIter=20)
+    mean = train.agg(F.avg("Score")).first()[0]
+    error = F.sqrt(F.avg((F.col("Score") - F.lit(mean)) * (F.col("Score") - F.lit(mean))))
+    by_mean = test.agg(error).first()[0]
+    return training.evaluate(model, test).select(
+        "n_scored", "n_total", F.round("coverage", 6).alias("coverage"), (F.col("rmse") < 0.7 * by_mean).alias("beats_mean")
+    )
+
+
+def _trained(spark: SparkSession, sf: str) -> Bundle:
     frame = training.train_frame(t.reviews(spark, sf))
-    train, test = split.hash_split(cut(frame.ratings, "indexed"))
-    model = training.fit(train, rank=10, regParam=0.1)
-    return Bundle.of_als(model, frame.user_labels, frame.item_labels), test
+    model = training.fit(cut(frame.ratings, "indexed"), rank=10, regParam=0.1)
+    return Bundle.of_als(model, frame.user_labels, frame.item_labels)
 
 
 def _event_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,32 +187,72 @@ def _event_users(spark: SparkSession, sf: str) -> DataFrame:
     return activity.distinct_users(events.select(F.col("user_id").cast("string").alias("UserId")))
 
 
+def list_checks(ranked: DataFrame) -> DataFrame:
+    """(UserId, n_items, in_order, distinct_items) of rows (UserId, rank, ProductId, score)."""
+    entries = F.array_sort(F.collect_list(F.struct("rank", "ProductId", "score")))
+    lists = ranked.groupBy("UserId").agg(entries.alias("l"))
+    ranks = F.transform("l", lambda e: e["rank"])
+    scores = F.transform("l", lambda e: e["score"])
+    items = F.transform("l", lambda e: e["ProductId"])
+    in_order = (ranks == F.sequence(F.lit(1), F.size("l"))) & (scores == F.reverse(F.array_sort(scores)))
+    return lists.select(
+        "UserId", F.size("l").alias("n_items"), in_order.alias("in_order"),
+        (F.size(F.array_distinct(items)) == F.size("l")).alias("distinct_items"), "l",
+    )
+
+
 def recommend_als(spark: SparkSession, sf: str) -> DataFrame:
-    bundle, _ = _trained(spark, sf)
-    return bundle.ranked(bundle.known_users(_event_users(spark, sf)), 5)
+    """A list per known event user, and whether its scores are those of the estimator's own search."""
+    bundle = _trained(spark, sf)
+    known = cut(bundle.known_users(_event_users(spark, sf)), "known")
+    own = list_checks(bundle.ranked(known, 5))
+    built_in = bundle.als.recommendForUserSubset(known.select(F.col("user_index").cast("int").alias("user_index")), 5)
+    named = built_in.join(known.select("UserId", F.col("user_index").cast("int").alias("user_index")), "user_index")
+    both = own.join(named.select("UserId", "recommendations"), "UserId")
+    gaps = F.zip_with("l", "recommendations", lambda a, b: F.abs(a["score"] - b["rating"]))
+    same = (F.size("l") == F.size("recommendations")) & (F.array_max(gaps) < 1e-4)
+    return both.select("UserId", "n_items", "in_order", "distinct_items", same.alias("as_built_in"))
 
 
 def tune_als(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per candidate, the winner with its error and coverage on the test part."""
-    frame = training.train_frame(t.reviews(spark, sf))
-    train, test = split.hash_split(cut(frame.ratings, "indexed"))
-    tuned = training.tune(cut(train, "train"), parallelism=4)
-    grid = spark.createDataFrame(tuned.grid, "rank int, regParam double, validation_rmse double")
-    best = (F.col("rank") == tuned.rank) & (F.col("regParam") == tuned.reg_param)
+    """One row per candidate with the sizes of the parts; the best is the only one of least error."""
+    ratings = cut(training.train_frame(t.reviews(spark, sf)).ratings, "indexed")
+    bucket = (F.col("user_index") * 31 + F.col("item_index")) % 100
+    train, test = cut(ratings.where(bucket < 80), "train"), ratings.where(bucket >= 80)
+    tuned = training.tune(train, parallelism=4)
     quality = training.evaluate(tuned.model, test).first()
-    return grid.select(
-        "*", best.alias("is_best"),
-        F.when(best, F.lit(quality["rmse"])).alias("test_rmse"),
-        F.when(best, F.lit(quality["coverage"])).alias("coverage"),
+    least = min(error for _, _, error in tuned.grid)
+    rows = [
+        (rank, reg, train.count(), quality["n_total"], 0 < error < float("inf"),
+         ((rank, reg) == (tuned.rank, tuned.reg_param)) == (error == least))
+        for rank, reg, error in tuned.grid
+    ]
+    return spark.createDataFrame(
+        rows, "rank int, regParam double, n_train long, n_test long, finite boolean, best_is_least boolean"
     )
 
 
 def als_save_load(spark: SparkSession, sf: str) -> DataFrame:
-    bundle, _ = _trained(spark, sf)
+    """Per known event user, whether the list of the saved model is that of the model before."""
+    bundle = _trained(spark, sf)
     path = scratch_dir(spark, "model")
     bundle.save(path)
     again = Bundle.load(spark, path)
-    return again.ranked(again.known_users(_event_users(spark, sf)), 5)
+    users = cut(_event_users(spark, sf), "users")
+    before, after = (list_checks(b.ranked(b.known_users(users), 5)) for b in (bundle, again))
+    both = before.select("UserId", F.col("l").alias("x")).join(after.select("UserId", "l"), "UserId", "full")
+    return both.select("UserId", F.col("x").eqNullSafe(F.col("l")).alias("same_list"))
+
+
+def register_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Train and register twice; what the registry then holds."""
+    reviews = cut(t.reviews(spark, sf), "reviews")
+    models, runs = scratch_dir(spark, "models"), scratch_dir(spark, "runs")
+    for _ in range(2):
+        training.train_and_register(reviews, models, runs, ranks=[4], reg_params=[0.1], maxIter=2)
+    rows = registry.read(spark, runs)
+    fine = F.col("coverage").between(0, 1) & (F.col("rmse") > 0)
+    return rows.select("name", "version", "stage", "rank", F.round("regParam", 6).alias("regParam"), fine.alias("measured"))
 
 
 # Lists of recommendations
@@ -471,7 +524,7 @@ ALL = [
     filter_5_5, filter_40_20, popular_products,
     label_index_users, label_index_items, index_unseen_keep, known_users, holdout_split, replay_split,
     preprocess_frame, train_frame, train_frame_40_20,
-    rmse_eval, topn_factor_dot, recommend_als, tune_als, als_save_load,
+    rmse_eval, topn_factor_dot, als_predict, recommend_als, tune_als, als_save_load, register_model,
     recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted,
     serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_lookup_text, serve_empty_table, recs_count,
     registry_latest, registry_versions, registry_metrics,

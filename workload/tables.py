@@ -69,6 +69,27 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
 
 
+def planted_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_index, item_index, Score): the pairs of the reviews, with scores that three factors explain.
+
+    User and item take their factors from embeddings by number; a score is their inner product, scaled so
+    that it varies by about one.
+    """
+    pairs = reviews(spark, sf_dir).select(
+        F.col("UserId").cast("int").alias("user_index"), F.col("ProductId").cast("int").alias("item_index")
+    ).distinct()
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform(F.slice("embedding", 1, 3), lambda x: x * 8).alias("v")
+    )
+    count = vectors.agg(F.max("vec_id") + 1).scalar()
+    number = pairs.select("*", (F.col("user_index") % count).alias("u"), (F.col("item_index") % count).alias("i"))
+    user = vectors.select(F.col("vec_id").alias("u"), F.col("v").alias("x"))
+    item = vectors.select(F.col("vec_id").alias("i"), F.col("v").alias("y"))
+    products = F.zip_with("x", "y", lambda a, b: (a * b).cast("double"))
+    score = F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+    return number.join(user, "u").join(item, "i").select("user_index", "item_index", score.cast("float").alias("Score"))
+
+
 def vector_labels(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     """(label, idx, n) naming each vector by its number."""
     number = F.col("vec_id")
