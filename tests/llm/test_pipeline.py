@@ -1,0 +1,31 @@
+import corpus_pipeline as c
+from tasteloom.llm import queries
+from tests.conftest import SF
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages_filter_and_keep_the_columns(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = docs.count()
+    for n, (name, stage) in enumerate(c.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        after = spark.read.parquet(str(tmp_path / name))
+        if n < 4:
+            assert after.columns == COLUMNS
+        left = after.count()
+        assert 0.7 * before < left <= before and (left < before) == (n < 3)
+        docs, before = after, left
+    assert docs.where("NOT round_trip").count() == 0 and docs.select("doc_id").distinct().count() == before
+
+
+def test_empty_documents_pass_all_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in c.STAGES[1:]:
+        docs = stage(spark, docs, SF)
+    assert docs.count() == 0
+
+
+def test_every_operator_has_its_query():
+    names = [q.__name__ for q in queries.ALL]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]

@@ -1,0 +1,69 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tasteloom.llm import toxicity as t
+
+DOCS = "doc_id long, text string, toxic string, score long"
+
+
+def corpus(n=400, seed=3):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = [f"word{rng.randrange(300)}" for _ in range(80)]
+        toxic = i % 5 == 0
+        if toxic:
+            words[rng.randrange(80)] = rng.choice(["idiot", "zorkish", "zorkan"])
+        rows.append((i, " ".join(words), "x", 1))
+        labels.append((i, int(toxic), "y"))
+    return rows, labels
+
+
+def fitted(spark, rows, labels):
+    docs = spark.createDataFrame(rows, DOCS)
+    return docs, t.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int, text string"), F.col("doc_id") % 4 != 0)
+
+
+def test_learns_words_and_beginnings(spark):
+    rows, labels = corpus()
+    docs, model = fitted(spark, rows + [(None, None, None, None), (5, "repeat", "x", 1)], labels + [(None, 1, "y"), (3, None, "y")])
+    scored = docs.select("doc_id", t.score(F.col("text"), model).alias("s")).collect()
+    told = {r["doc_id"]: r["s"] for r in scored if r["doc_id"] not in (None, 5)}
+    truth = {i: y for i, y, _ in labels}
+    held = [i for i in truth if i % 4 == 0]
+    assert sum((told[i] >= 0.5) == truth[i] for i in held) >= 0.98 * len(held)
+    assert "zork*" in model.words
+    extra = spark.createDataFrame([(None,), ("",), ("12 !!",), ("you idiot " + "word1 " * 50_000,)], "text string")
+    got = [r["s"] for r in extra.select(t.score(F.col("text"), model).alias("s")).collect()]
+    assert all(0 <= s < 0.5 for s in got[:3]) and got[3] >= 0.5
+    assert abs(model.score(None) - got[0]) < 1e-9
+
+
+def test_without_examples_of_both_classes(spark):
+    rows, labels = corpus(20)
+    docs, model = fitted(spark, rows, [(i, 0, "y") for i, _, _ in labels])
+    assert model is None and docs.select(t.score(F.col("text"), model).alias("s")).first()["s"] == 0.0
+    assert fitted(spark, [], [])[1] is None
+
+
+def test_label_model_finds_who_is_reliable(spark):
+    """Two good voters, one that is noise, and a copy of a good one that must not count twice."""
+    rng = np.random.default_rng(0)
+    y = rng.random(4000) < 0.3
+    good = np.where(rng.random(4000) < 0.9, y, ~y)
+    other = np.where(rng.random(4000) < 0.85, y, ~y)
+    noise = rng.random(4000) < 0.5
+    votes = good.astype(int) | other.astype(int) << 1 | noise.astype(int) << 2 | good.astype(int) << 3
+    values, n = np.unique(votes, return_counts=True)
+    table = spark.createDataFrame([(int(v), int(c)) for v, c in zip(values, n)], "votes long, n long")
+    chance = t.label_model(table, votes[:600], y[:600].astype(float), 4)
+    assert ((chance >= 0.5) == y[:600]).mean() > 0.95
+
+
+def test_the_sample_is_bounded(spark):
+    rows, labels = corpus(60)
+    docs = spark.createDataFrame(rows * 2, DOCS)
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+    assert t.training_rows(docs, marked, F.lit(True), "doc_id", "text", "toxic", 25).count() == 25
