@@ -4,10 +4,34 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def removed_at_end(spark: SparkSession) -> Iterator[None]:
+    """Delete every folder that ``scratch_dir`` names within the block once it ends, also on an error.
+
+    For jobs whose results live elsewhere: frames built on the folders cannot be read afterwards.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for name in made:
+            path = hadoop.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``.
 
@@ -19,7 +43,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tasteloom-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
 
 
 def cut(df: DataFrame, purpose: str = "cut") -> DataFrame:

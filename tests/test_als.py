@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import DataFrame, functions as F
@@ -119,12 +121,16 @@ def test_saved_bundle_recommends_the_same(spark, reviews, indexed, model):
 
 def test_train_and_register(spark, reviews):
     models, runs = scratch_dir(spark, "models"), scratch_dir(spark, "runs")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
     for want in (1, 2):
         got = training.train_and_register(reviews, models, runs, ranks=[2], reg_params=[0.05], maxIter=3)
         assert got == want
     row = registry.latest(registry.read(spark, runs)).first()
     assert (row["version"], row["rank"], row["regParam"], row["coverage"]) == (2, 2, 0.05, 1.0)
     assert Bundle.load(spark, row["path"]).item_labels.count() == 100
+    left = {name.split("-")[0] for name in set(os.listdir(shared)) - before}
+    assert left <= {"models", "runs"}
 
 
 def test_train_frame_keeps_what_the_filters_keep(spark, reviews):
