@@ -189,16 +189,28 @@ def long_fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> bytes:
     return np.packbits(2 * ones > len(hashes)).tobytes()
 
 
-def segment_keys(fp: bytes) -> tuple[list[int], list[int]]:
-    """(keys of the segments, keys one bit away that have a bit more), each with its segment's number."""
-    width = SEGMENT_BITS // 8
-    own, near = [], []
-    for i in range(SEGMENTS):
-        value = int.from_bytes(fp[i * width : (i + 1) * width], "big")
-        tag = i << SEGMENT_BITS
-        own.append(tag | value)
-        near.extend(tag | value | 1 << b for b in range(SEGMENT_BITS) if not value >> b & 1)
-    return own, near
+def lookups(entries: DataFrame) -> DataFrame:
+    """(id, k, own): the keys of an entry's segments, and those one bit away that have a bit more.
+
+    A key is the segment's number and value. Two entries one bit apart meet where the one with the bit is stored.
+    """
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tags = np.arange(SEGMENTS, dtype=np.int64) << SEGMENT_BITS
+        for batch in batches:
+            for start in range(0, len(batch), 256):
+                part = batch.iloc[start : start + 256]
+                raw = np.frombuffer(b"".join(part["fp"]), dtype=np.uint8).reshape(len(part), -1)
+                raw = raw[:, : SEGMENTS * SEGMENT_BITS // 8].reshape(len(part), SEGMENTS, -1).astype(np.int64)
+                weights = 1 << np.arange(SEGMENT_BITS - 8, -1, -8)
+                own = (raw * weights).sum(axis=2) | tags
+                near = own[:, :, None] | (1 << np.arange(SEGMENT_BITS))
+                row, _, _ = new = np.nonzero(near != own[:, :, None])
+                ids = part["id"].to_numpy()
+                yield pd.DataFrame({"id": np.repeat(ids, SEGMENTS), "k": own.ravel(), "own": True})
+                yield pd.DataFrame({"id": ids[row], "k": near[new], "own": False})
+
+    return entries.select("id", "fp").mapInPandas(keys, "id long, k long, own boolean")
 
 
 def _differs(a: Column, b: Column) -> Column:
@@ -236,17 +248,8 @@ def similar_groups(
     marked = cut(prints_of, "prints")
     entries = cut(marked.groupBy("fp").agg(F.min("key").alias("id")), "entries")
 
-    def keys(fps: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in fps:
-            pairs = [segment_keys(fp) for fp in batch]
-            yield pd.DataFrame({"own": [p[0] for p in pairs], "near": [p[1] for p in pairs]})
-
-    looked = entries.select("id", F.pandas_udf(keys, "own array<long>, near array<long>")(F.col("fp")).alias("k"))
-    stored = looked.select("id", F.explode("k.own").alias("k"))
-    rows = looked.select("id", F.explode(F.concat(
-        F.transform("k.own", lambda k: F.struct(k.alias("k"), F.lit(True).alias("own"))),
-        F.transform("k.near", lambda k: F.struct(k.alias("k"), F.lit(False).alias("own"))),
-    )).alias("r")).select("id", "r.k", "r.own")
+    rows = lookups(entries)
+    stored = rows.where("own").select("id", "k")
     most, links = most_bits(similarity), None
     while True:
         least = cut(stored.groupBy("k").agg(F.min("id").alias("to")), "least")
