@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasteloom.operators.ordering import with_position
@@ -165,13 +165,10 @@ def top_k(
     pairs = left.groupBy("part", "block").cogroup(right.groupBy("p", "b")).applyInPandas(
         search, "at long, query_id long, vec_id long, score long"
     )
-    # At most k rows per query and block come here; the best k of a query within each task go on.
-    best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "vec_id")))
-    lists = pairs.groupBy("at", "query_id").agg(F.slice(best, 1, k).alias("best"))
-    return lists.select("query_id", F.posexplode("best").alias("_pos", "b")).select(
-        "query_id", (F.col("_pos") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"),
-        (-F.col("b.minus")).alias("score"),
-    )
+    # At most k rows per query and block come here; each task keeps the best k of a query before the shuffle.
+    best = Window.partitionBy("at").orderBy(F.col("score").desc(), "vec_id")
+    ranked = pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _reached(tops: DataFrame, parts: DataFrame) -> DataFrame:
