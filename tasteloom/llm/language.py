@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasteloom.llm.pieces import INDEX_CHARS, MODEL, SPACE, Encoder, Vocabulary
+from tasteloom.llm.pieces import INDEX_CHARS, MODEL, PORTION_CHARS, SPACE, Encoder, Vocabulary
 from tasteloom.sources.scratch import cut
 
 ROUNDS = 2
@@ -204,6 +204,19 @@ def _expected(counts: DataFrame, languages: tuple[str, ...], vocabulary: Vocabul
     return rows.groupBy("lang", "piece").agg(F.sum("n").alias("n"))
 
 
+def _portions(texts: pd.Series) -> Iterator[list[str | None]]:
+    """The texts in lists of about PORTION_CHARS characters: their words are Python strings."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text or "")
+        if size >= PORTION_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def predict(text: Column, model: Model | None) -> Column:
     """struct(lang, score): the likeliest language of each whole text and its posterior probability.
 
@@ -218,21 +231,22 @@ def predict(text: Column, model: Model | None) -> Column:
         place: dict[str, int] = {}
         scores = np.empty((0, len(model.languages)))
         for batch in texts:
-            if len(place) > REMEMBERED:
-                place, scores = {}, scores[:0]
-            split = [words(t) for t in batch]
-            new = list({w: None for ws in split for w in ws if w not in place})
-            place.update(zip(new, range(len(place), len(place) + len(new))))
-            if new:
-                scores = np.concatenate([scores, *(b.scores(model.table) for b in lattice.blocks(new))])
             out = []
-            for body, ws in zip(batch, split):
-                if not ws or not any(c.isalpha() for c in body):
-                    out.append((UNKNOWN, 0.0))
-                    continue
-                total = scores[[place[w] for w in ws]].sum(axis=0) + model.prior
-                best = int(np.argmax(total))
-                out.append((model.languages[best], float(1 / np.exp(total - total[best]).sum())))
+            for portion in _portions(batch):
+                if len(place) > REMEMBERED:
+                    place, scores = {}, scores[:0]
+                split = [words(t) for t in portion]
+                new = list({w: None for ws in split for w in ws if w not in place})
+                place.update(zip(new, range(len(place), len(place) + len(new))))
+                if new:
+                    scores = np.concatenate([scores, *(b.scores(model.table) for b in lattice.blocks(new))])
+                for ws in split:
+                    if not any(c.isalpha() for w in ws for c in w):
+                        out.append((UNKNOWN, 0.0))
+                        continue
+                    total = scores[[place[w] for w in ws]].sum(axis=0) + model.prior
+                    best = int(np.argmax(total))
+                    out.append((model.languages[best], float(1 / np.exp(total - total[best]).sum())))
             yield pd.DataFrame(out, columns=["lang", "score"])
 
     return F.pandas_udf(judge, "lang string, score double")(text)
