@@ -27,15 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIZE = 50
-ANCHOR = 16
+ANCHOR, INNER = 16, 4
 # Text bytes cut at once, text bytes whose pieces go to one bucket, and text bytes applied at once.
-CUT_BYTES = 8 << 20
+CUT_BYTES = 6 << 20
 BUCKET_BYTES = 6 << 20
 APPLY_BYTES = 16 << 20
 # Pieces per collection (an anchor is never divided), rows of the external files read at once.
-COLLECTION = 1 << 14
+COLLECTION = 1 << 12
 ROWS = 1 << 22
-LEVEL = 4
+# Bytes hashed at once: hashes take eight bytes each.
+STEP = 1 << 20
+LEVEL = 6
 END = 255  # no byte of UTF-8
 BASE = 0x9E3779B97F4A7C15
 
@@ -50,13 +52,25 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def anchor_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ANCHOR bytes from each place, by joining halves; ANCHOR is a power of two."""
+    """Hash of the ANCHOR bytes from each place, by joining halves; ANCHOR and INNER are powers of two.
+
+    Strings whose least INNER-byte string stands at an end have lower hashes than the others: they lie
+    further apart, which makes pieces longer.
+    """
     h, factor, width = data.astype(U64) + U64(1), U64(BASE), 1
+    places = max(0, len(data) - ANCHOR + 1)
     with np.errstate(over="ignore"):
         while width < ANCHOR:
             h = h[:-width] * factor + h[width:]
             factor, width = factor * factor, width * 2
-    return _mix(h)
+            if width == INNER:
+                inner = _mix(h)
+    h = _mix(h) >> U64(1)
+    if places:
+        least, far = _least(inner, ANCHOR - INNER + 1), ANCHOR - INNER
+        ends = (least == inner[:places]) | (least == inner[far : far + places])
+        h |= (~ends).astype(U64) << U64(63)
+    return h
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -68,16 +82,72 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def _stretches(starts: np.ndarray, stops: np.ndarray) -> Iterator[tuple[slice, int, int]]:
+    """Stretches with rising starts, in groups that span about STEP bytes: (which, first byte, end)."""
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + STEP)))
+        yield slice(i, j), int(starts[i]), int(stops[i:j].max())
+        i = j
+
+
 def content_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """Hash of each stretch, from sums of bytes times powers of an odd number."""
-    if not len(data):
-        return np.zeros(len(starts), dtype=U64)
+    """Hash of each stretch (rising starts), from sums of bytes times powers of an odd number."""
+    out = np.zeros(len(starts), dtype=U64)
+    powers = back = np.ones(1, dtype=U64)
+    inverse = pow(BASE, -1, 1 << 64)
     with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(np.r_[U64(1), np.full(len(data) - 1, BASE, dtype=U64)])
-        sums = np.r_[U64(0), np.cumsum((data.astype(U64) + U64(1)) * powers)]
-        inverse = U64(pow(BASE, -1, 1 << 64))
-        back = np.multiply.accumulate(np.r_[U64(1), np.full(len(data) - 1, inverse, dtype=U64)])
-        return _mix((sums[stops] - sums[starts]) * back[starts])
+        for which, a, b in _stretches(starts, stops):
+            if len(powers) < b - a:
+                powers = np.multiply.accumulate(np.r_[U64(1), np.full(b - a - 1, BASE, dtype=U64)])
+                back = np.multiply.accumulate(np.r_[U64(1), np.full(b - a - 1, inverse, dtype=U64)])
+            sums = np.r_[U64(0), np.cumsum((data[a:b].astype(U64) + U64(1)) * powers[: b - a])]
+            out[which] = _mix((sums[stops[which] - a] - sums[starts[which] - a]) * back[starts[which] - a])
+    return out
+
+
+def least_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """The anchor of each piece (rising starts): the least hash within it."""
+    out = np.zeros(len(starts), dtype=U64)
+    for which, a, b in _stretches(starts, stops):
+        hashes = np.r_[anchor_hashes(data[a:b]), np.zeros(ANCHOR, dtype=U64)]
+        edges = np.empty(2 * (which.stop - which.start), dtype=np.int64)
+        edges[0::2], edges[1::2] = starts[which] - a, stops[which] - a - ANCHOR + 1
+        out[which] = np.minimum.reduceat(hashes, edges)[::2]
+    return out
+
+
+def may_match(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, anchors: np.ndarray, docs: np.ndarray, size: int) -> np.ndarray:
+    """Which pieces (rising starts) could share a window with a piece of another document.
+
+    A common window holds the anchor and, on one of its sides, at least half of the other
+    ``size - ANCHOR`` bytes. So one of these longer strings around an anchor must be common, too.
+    """
+    side = -(-(size - ANCHOR) // 2)
+    keys, owners = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
+    for which, a, b in _stretches(starts, stops):
+        hashes = anchor_hashes(data[a:b])
+        lengths = stops[which] - starts[which] - ANCHOR + 1
+        owner = np.repeat(np.arange(which.start, which.stop), lengths)
+        place = _ranges(starts[which], starts[which] + lengths)
+        hit = hashes[place - a] == anchors[owner]
+        owner, place = owner[hit], place[hit]
+        for low, high in ((place - side, place + ANCHOR), (place, place + ANCHOR + side)):
+            inside = (low >= starts[owner]) & (high <= stops[owner])
+            own, low, high = owner[inside], low[inside] - a, high[inside] - a
+            order = np.argsort(low, kind="stable")
+            keys.append(content_hashes(data[a:b], low[order], high[order]))
+            owners.append(own[order])
+    key, owner = np.concatenate(keys), np.concatenate(owners)
+    order = np.lexsort((docs[owner], key))
+    key, owner = key[order], owner[order]
+    out = np.zeros(len(starts), dtype=bool)
+    if len(key):
+        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        end = np.r_[head[1:], len(key)]
+        shared = docs[owner[head]] != docs[owner[end - 1]]
+        out[owner[np.repeat(shared, end - head)]] = True
+    return out
 
 
 def cut_pieces(data: np.ndarray, bounds: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,6 +155,18 @@ def cut_pieces(data: np.ndarray, bounds: np.ndarray, size: int = SIZE) -> tuple[
 
     Every window of ``size`` bytes within a text lies in exactly one piece.
     """
+    found = []
+    for a in range(0, len(data), STEP):
+        part = data[a : a + STEP + size - 1]
+        # The texts that reach into the part, cut off at its ends.
+        i, j = np.searchsorted(bounds, a, side="right") - 1, np.searchsorted(bounds, a + len(part))
+        starts, stops, anchors = _cut_part(part, np.clip(bounds[i : j + 1] - a, 0, len(part)), size)
+        found.append((starts + a, stops + a, anchors))
+    none = np.empty(0, dtype=np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (none, none, none.astype(U64))
+
+
+def _cut_part(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     none = np.empty(0, dtype=np.int64)
     if len(data) < size:
         return none, none, none.astype(U64)
@@ -346,36 +428,40 @@ def merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nda
     return doc[head], start[head], reach[last]
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """(ids, texts as bytes) in portions of about CUT_BYTES."""
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, whether there is an id, bytes of the texts, bounds in them) in portions of about CUT_BYTES.
+
+    The bytes are those of the batch, without a copy.
+    """
     for batch in batches:
-        ids, texts, size = [], [], 0
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids.append(key)
-            texts.append(text or b"")
-            size += len(texts[-1])
-            if size >= CUT_BYTES:
-                yield np.array(ids, dtype=object), texts
-                ids, texts, size = [], [], 0
-        if ids:
-            yield np.array(ids, dtype=object), texts
+        column = batch.column(1).cast(pa.large_binary())
+        _, offsets, body = column.buffers()
+        bounds = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(body or b"", dtype=np.uint8)
+        known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+        ids = batch.column(0).fill_null(0).to_numpy()
+        i = 0
+        while i < len(ids):
+            j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + CUT_BYTES, side="right")) - 1)
+            yield ids[i:j], known[i:j], data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]
+            i = j
+
+
+def _checksums(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    view, cuts = memoryview(data), bounds.tolist()
+    return np.array([zlib.crc32(view[a:b]) for a, b in zip(cuts, cuts[1:])], dtype=np.uint32)
 
 
 def _cut_task(buckets: int, size: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _batches(batches):
-            # The smallest document of a portion decides within it; order by document once.
-            order = np.argsort(ids.astype(np.int64), kind="stable")
-            doc = ids[order].astype(np.int64)
-            texts = [texts[i] for i in order]
-            crc = np.array([zlib.crc32(t) for t in texts], dtype=np.uint32)
-            bounds = np.cumsum([0, *map(len, texts)])
-            data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        for doc, _, data, bounds in _portions(batches):
+            crc = _checksums(data, bounds)
             starts, stops, anchors = cut_pieces(data, bounds, size)
             if not len(starts):
                 continue
             text = np.searchsorted(bounds, starts, side="right") - 1
             by, heads = equal_groups(content_hashes(data, starts, stops), doc[text], data, starts, stops)
+            # The smallest document of a portion decides for the others in it.
             first = np.repeat(doc[text[by[heads]]], np.diff(np.r_[heads, len(by)]))
             later = doc[text[by]] > first
             gone, sent = by[later], by[~later]
@@ -430,12 +516,16 @@ def bucket_spans(blobs: list[bytes], size: int) -> pd.DataFrame:
     sample = by[heads]
     later = doc[by] > doc[sample][group]
     spans = [_frame(doc[by[later]], crc[by[later]], place[by[later]], (place + length)[by[later]])]
-    # Anchor of each distinct piece: the least hash within it.
-    hashes = np.r_[anchor_hashes(data), np.zeros(ANCHOR, dtype=U64)]
-    edges = np.empty(2 * len(starts), dtype=np.int64)
-    edges[0::2], edges[1::2] = starts, stops - ANCHOR + 1
-    anchor = np.minimum.reduceat(hashes, edges)[::2][sample]
-    sort = np.lexsort((doc[sample], anchor))
+    rising = np.argsort(starts[sample])
+    own = sample[rising]
+    anchor = np.empty(len(sample), dtype=U64)
+    anchor[rising] = least_hashes(data, starts[own], stops[own])
+    possible = np.zeros(len(sample), dtype=bool)
+    possible[rising] = may_match(data, starts[own], stops[own], anchor[rising], doc[own], size)
+    sort = np.flatnonzero(possible)
+    if not len(sort):
+        return pd.concat(spans, ignore_index=True)
+    sort = sort[np.lexsort((doc[sample[sort]], anchor[sort]))]
     head = np.r_[True, anchor[sort][1:] != anchor[sort][:-1]]
     first = np.flatnonzero(head)
     end = np.r_[first[1:], len(sort)]
@@ -472,7 +562,12 @@ def _ranges(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _bucket_task(size: int):
+def _portion(doc: np.ndarray, crc: np.ndarray, portions: int) -> np.ndarray:
+    mixed = _mix(doc.astype(U64) ^ (crc.astype(U64) << U64(32)))
+    return (mixed % U64(portions)).astype(np.int32)
+
+
+def _bucket_task(size: int, portions: int):
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         spans = [NO_SPANS]
         for blob in rows.loc[rows["settled"], "blob"]:
@@ -480,7 +575,8 @@ def _bucket_task(size: int):
         blobs = list(rows.loc[~rows["settled"], "blob"])
         if blobs:
             spans.append(bucket_spans(blobs, size))
-        return pd.concat(spans, ignore_index=True)
+        found = pd.concat(spans, ignore_index=True)
+        return found.assign(portion=_portion(found["doc"].to_numpy(), found["crc"].to_numpy(), portions))
 
     return solve
 
@@ -489,30 +585,21 @@ def _text_task(portions: int):
     """Texts in compressed portions, by the hash of their document."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _batches(batches):
-            known = np.array([i is not None for i in ids])
-            doc = np.array([0 if i is None else i for i in ids], dtype=np.int64)
-            crc = np.array([zlib.crc32(t) for t in texts], dtype=np.int64)
-            portion = (_mix(doc.astype(U64) ^ (crc.astype(U64) << U64(32))) % U64(portions)).astype(np.int64)
+        for doc, known, data, bounds in _portions(batches):
+            crc = _checksums(data, bounds).astype(np.int64)
+            view = memoryview(data)
+            portion = _portion(doc, crc, portions)
             rows = []
             for k in np.unique(portion):
                 own = np.flatnonzero(portion == k)
-                sizes = np.array([len(texts[i]) for i in own], dtype=np.int64)
-                body = np.frombuffer(b"".join([texts[i] for i in own]), dtype=np.uint8)
+                sizes = bounds[own + 1] - bounds[own]
+                body = np.frombuffer(b"".join([view[bounds[i] : bounds[i + 1]] for i in own]), dtype=np.uint8)
                 rows.append({"portion": int(k), "blob": _pack(doc[own], known[own].astype(np.uint8), crc[own], sizes, body)})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("portion", pa.int32()), ("blob", pa.binary())]))
 
     return pack
 
 
-def _portion_of(portions: int):
-    def place(doc: pd.Series, crc: pd.Series) -> pd.Series:
-        mixed = _mix(doc.to_numpy().astype(U64) ^ (crc.to_numpy().astype(U64) << U64(32)))
-        return pd.Series((mixed % U64(portions)).astype(np.int32))
-
-    return F.pandas_udf(place, "int")
-
-
 RESULT = "key long, n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept_sha256 string, kept binary"
 
 
@@ -567,7 +654,8 @@ def repeated_spans(
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets, portions = total // BUCKET_BYTES + 1, total // APPLY_BYTES + 1
     pieces = own.where("key is not null").mapInArrow(_cut_task(buckets, size), "bucket int, blob binary, settled boolean")
-    spans = pieces.groupBy("bucket").applyInPandas(_bucket_task(size), "doc long, crc long, start long, stop long")
-    placed = spans.withColumn("portion", _portion_of(portions)("doc", "crc"))
+    placed = pieces.groupBy("bucket").applyInPandas(
+        _bucket_task(size, portions), "doc long, crc long, start long, stop long, portion int"
+    )
     texts = own.mapInArrow(_text_task(portions), "portion int, blob binary")
     return placed.groupBy("portion").cogroup(texts.groupBy("portion")).applyInPandas(_apply_task(keep), RESULT)
