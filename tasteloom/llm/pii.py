@@ -25,7 +25,7 @@ FORMS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-_BYTE = r"0*+(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
+_BYTE = r"(?:0*+(?:1[0-9][0-9]|2[0-4][0-9]|25[0-5]|[1-9][0-9]?)|0++)"
 IP_FINE = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 
 # A token that could be an identifier: no white space, with a digit or an at sign.

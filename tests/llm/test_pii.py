@@ -54,6 +54,18 @@ def test_base_spans_equal_the_plain_forms(spark):
     assert len(digest) == 64 and got[0]["base"] == ""
 
 
+def test_addresses_with_zero_parts(spark):
+    texts = [
+        "10.0.0.1 192.168.0.7 127.0.0.1", "0.0.0.0 00.0.000.0", "1.00.2.3 010.020.0.0255", "0.0.0.256 0256.0.0.0 00300.1.1.1",
+        "255.250.249.199 100.99.9.0", "0" * 4_000 + ".0.0.0", ".".join(["0" * 4_000 + "256"] * 4),
+    ]
+    got = result(spark, texts)
+    assert {i: r["base"] for i, r in got.items()} == {i: ",".join(brute(t)) for i, t in enumerate(texts)}
+    assert [r["base"].count("ip:") for _, r in sorted(got.items())] == [3, 2, 2, 0, 2, 1, 0]
+    df = spark.createDataFrame([(1, "at 10.0.0.1 now", "e", "k")], SCHEMA)
+    assert pii.with_masked(df).first()["text"] == "at [IP] now"
+
+
 def test_contexts_discover_what_no_form_matches(spark):
     seeds = [f"some text here contact mailbox user{i}@site{i}.org today please" for i in range(12)]
     texts = seeds + ["we said contact mailbox user99(at)site today please", "a number 12345 elsewhere", "year 1999 was fine"]
