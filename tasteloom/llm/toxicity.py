@@ -32,7 +32,7 @@ PREFIXES = (4, 5, 6, 7)
 # Most mined words and prefixes that are features, and the first of them that are voters.
 MINED, MINED_VOTERS = 256, 48
 LEAST_DOCS, LEAST_Z = 4, 3.0
-# Bound of the labelled rows that lexicon and classifier are fitted on.
+# Bound of the labelled rows that the classifier is fitted on.
 SAMPLE = 20_000
 ROUNDS = 8
 LABEL_ACCURACY = 0.98
@@ -137,27 +137,28 @@ def vote(found: list[int], shape: list[float], lexicons: dict[int, int], mined:
 def mine(labelled: DataFrame, text: str, label: str) -> list[str]:
     """The feature words that most surely go with the label, by the z-score of their log odds.
 
-    Document counts run over all rows of ``labelled``; only the list, at most MINED long, comes back.
+    Document counts run over all rows of ``labelled``, which is read once; only the list, at most MINED long, comes back.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             toxic, other = Counter(), Counter()
             for body, y in zip(batch[text], batch[label]):
-                (toxic if y else other).update(features(tokens(body or "")))
+                own = toxic if y else other
+                own.update(features(tokens(body or "")))
+                own[""] += 1  # no word is empty: the number of documents
             names = list(toxic.keys() | other.keys())
             yield pd.DataFrame({"w": names, "t": [toxic[w] for w in names], "o": [other[w] for w in names]})
 
-    sizes = labelled.agg(F.sum(F.col(label).cast("long")), F.count(F.lit(1))).first()
-    n_toxic, n = int(sizes[0] or 0), int(sizes[1])
-    if not 0 < n_toxic < n:
-        return []
     counts = labelled.select(text, label).mapInPandas(count, "w string, t long, o long")
-    counts = counts.groupBy("w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    counts = cut(counts.groupBy("w").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "counts")
+    sizes = counts.where("w = ''").first()
+    if sizes is None or not sizes["t"] or not sizes["o"]:
+        return []
     t, o = F.col("t") + 0.5, F.col("o") + 0.5
-    odds = F.log(t / (n_toxic + 1 - t)) - F.log(o / (n - n_toxic + 1 - o))
+    odds = F.log(t / (sizes["t"] + 1 - t)) - F.log(o / (sizes["o"] + 1 - o))
     z = odds / F.sqrt(1 / t + 1 / o)
-    top = counts.where((F.col("t") + F.col("o") >= LEAST_DOCS) & (z >= LEAST_Z)).select("w", z.alias("z"))
+    top = counts.where((F.col("w") != "") & (F.col("t") + F.col("o") >= LEAST_DOCS) & (z >= LEAST_Z)).select("w", z.alias("z"))
     return [r["w"] for r in top.orderBy(F.col("z").desc(), "w").limit(MINED).collect()]
 
 
@@ -168,11 +169,13 @@ def fit(
     """A model from texts and, of some of them, labels 0 or 1; None where a class has no example.
 
     ``docs``: all texts, from which the voters' statistics come. ``labels`` (key, label): learned
-    from are rows where ``trains`` holds, at most ``sample`` of them, those of smallest key hash, so
-    that the choice does not depend on the order. Rows without a key or a label are left out.
+    from are rows where ``trains`` holds. Words are mined from all of them; the classifier is fitted on
+    at most ``sample``, those of smallest key hash, so that the choice does not depend on the order.
+    Rows without a key or a label are left out.
     """
+    named = training_labels(labels, trains, key, label)
+    mined = mine(with_labels(docs, named, key, text, label), text, label)
     labelled = training_rows(docs, labels, trains, key, text, label, sample)
-    mined = mine(labelled, text, label)
     fixed = list(dict.fromkeys(w for words in LEXICONS.values() for w in words.split()))
     words = tuple(mined + [w for w in fixed if w not in set(mined)])
     place = {w: i for i, w in enumerate(words)}
@@ -299,6 +302,19 @@ def score(text: Column, model: Model | None) -> Column:
     return F.pandas_udf(judge, "double")(text)
 
 
+def training_labels(labels: DataFrame, trains: Column, key: str, label: str) -> DataFrame:
+    """(_key, _label) of the labels for which ``trains`` holds; of labels that repeat a key the highest."""
+    named = labels.where(trains & F.col(key).isNotNull() & F.col(label).isNotNull())
+    return named.groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
+
+
+def with_labels(docs: DataFrame, named: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """(text, label) of all documents that ``named`` has; of documents that repeat a key one counts."""
+    own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = own.join(named, "_key").groupBy("_key").agg(F.min("_text").alias(text), F.first("_label").alias(label))
+    return rows.select(text, label)
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame, trains: Column, key: str, text: str, label: str, sample: int
 ) -> DataFrame:
@@ -307,9 +323,6 @@ def training_rows(
     The keys are chosen before the texts are met, so that what is broadcast is bounded by ``sample``, and
     no text is shuffled for the join. Of documents that repeat a key one counts, and of labels the highest.
     """
-    named = labels.where(trains & F.col(key).isNotNull() & F.col(label).isNotNull())
-    named = named.groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
+    named = training_labels(labels, trains, key, label)
     chosen = cut(named.orderBy(F.xxhash64("_key"), "_key").limit(sample), "labelled")
-    own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = own.join(F.broadcast(chosen), "_key").groupBy("_key").agg(F.min("_text").alias(text), F.first("_label").alias(label))
-    return cut(rows.select(text, label), "training")
+    return cut(with_labels(docs, F.broadcast(chosen), key, text, label), "training")

@@ -67,3 +67,11 @@ def test_the_sample_is_bounded(spark):
     docs = spark.createDataFrame(rows * 2, DOCS)
     marked = spark.createDataFrame(labels, "doc_id long, toxic int, text string")
     assert t.training_rows(docs, marked, F.lit(True), "doc_id", "text", "toxic", 25).count() == 25
+
+
+def test_words_are_mined_beyond_the_sample(spark):
+    rows, labels = corpus()
+    docs, marked = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+    few, all_of_them = (t.fit(docs, marked, F.lit(True), sample=n) for n in (40, 400))
+    assert few.words == all_of_them.words and "zork*" in few.words
+    assert len(few.weights) == len(all_of_them.weights) and not np.allclose(few.weights, all_of_them.weights)
