@@ -233,9 +233,11 @@ def similar_groups(
     """(key, group): for each key the smallest key of its group of similar texts.
 
     Multi-index hashing over SEGMENTS tables: a text is looked up by each segment and by the ball of one bit
-    around it, and complete fingerprints decide. In a table entry, texts are held against the smallest key; those
-    unlike it go on among themselves until none is left, so a group of n texts costs n
-    comparisons per table and not n squared. Rows without a key take no part. Equal fingerprints are one entry; texts without words
+    around it, and complete fingerprints decide. In a table entry, all texts are held against the smallest key; those
+    like it are its members, and a next smallest is taken from the rest until none is left. Members still meet
+    each later smallest, as they may be like it. Members of two that are not like each other's smallest are
+    compared at the end if their groups are still apart, so a group of n texts costs n comparisons per smallest
+    key and not n squared. What the triangle inequality rules out is not compared. Rows without a key take no part. Equal fingerprints are one entry; texts without words
     are alike. Rows of one key must have one text, or their groups are joined. An empty table gives no rows.
     """
     own = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
@@ -248,28 +250,52 @@ def similar_groups(
     marked = cut(prints_of, "prints")
     entries = cut(marked.groupBy("fp").agg(F.min("key").alias("id")), "entries")
 
-    rows = lookups(entries)
-    stored = rows.where("own").select("id", "k")
-    most, links = most_bits(similarity), None
+    most, ids = most_bits(similarity), entries.select(F.col("id").alias("v"))
+
+    def distances(pairs: DataFrame) -> DataFrame:
+        """(id, to, d) of distinct pairs."""
+        both = pairs.join(entries.withColumnRenamed("fp", "x"), "id").join(
+            entries.select(F.col("id").alias("to"), F.col("fp").alias("y")), "to"
+        )
+        return both.select("id", "to", _differs(F.col("x"), F.col("y")).alias("d"))
+
+    # p: the distance to the first smallest of the entry, known from the first round on.
+    rows = lookups(entries).withColumn("p", F.lit(None).cast("int"))
+    links = members = rings = None
     while True:
-        least = cut(stored.groupBy("k").agg(F.min("id").alias("to")), "least")
-        met = rows.hint("merge").join(least, "k").where(F.col("id") != F.col("to"))
-        met = cut(met.select("k", "id", "own", "to"), "met")
+        least = rows.where("own").groupBy("k").agg(F.min(F.struct("id", "p")).alias("m"))
+        least = cut(least.select("k", F.col("m.id").alias("to"), F.col("m.p").alias("q")), "least")
+        met = cut(rows.hint("merge").join(least, "k").where(F.col("id") != F.col("to")), "met")
         if met.isEmpty():
             break
-        asked = met.select("id", "to").distinct()
-        both = asked.join(entries.withColumnRenamed("fp", "x"), "id").join(
-            entries.select(F.col("id").alias("to"), F.col("fp").alias("y")), "to"
-        )
-        near = cut(both.where(_differs(F.col("x"), F.col("y")) <= most).select(F.col("id").alias("a"), F.col("to").alias("b")), "links")
+        # Farther from each other than this, neither the smallest nor a member of it can be like the text.
+        within = F.col("p").isNull() | (F.abs(F.col("p") - F.col("q")) <= 2 * most)
+        asked = cut(distances(met.where(within).select("id", "to").distinct()), "distances")
+        told = cut(met.select("k", "id", "own", "p", "to").join(asked, ["id", "to"], "left"), "told")
+        near, d = asked.where(F.col("d") <= most).select(F.col("id").alias("a"), F.col("to").alias("b")), F.col("d")
+        member = told.where(F.col("own") & (d <= most)).select("k", "to", F.col("id").alias("y"), d.alias("e"))
+        ring = told.where(~F.col("own") & (d > most) & (d <= 2 * most)).select("k", "to", "id", "d")
         links = near if links is None else links.unionByName(near)
-        known = near.select(F.col("a").alias("id"), F.col("b").alias("to"))
-        rows = cut(met.join(known, ["id", "to"], "left_anti").select("id", "k", "own"), "rest")
-        stored = rows.where("own").select("id", "k")
+        members = member if members is None else members.unionByName(member)
+        rings = ring if rings is None else rings.unionByName(ring)
+        still = F.col("own") & F.coalesce(d > most, F.lit(True))
+        rows = told.select("k", "id", still.alias("own"), F.coalesce("p", "d").alias("p"))
     if links is None:
         roots = entries.select(F.col("id").alias("v"), F.col("id").alias("root"))
     else:
-        roots = components(links.distinct(), entries.select(F.col("id").alias("v")))
+        links = links.distinct()
+        roots = cut(components(links, ids), "groups")
+        # A text near a smallest but not like it, and the members it may be like, if in different groups.
+        apart = rings.join(roots.select(F.col("v").alias("id"), F.col("root").alias("r")), "id").join(
+            roots.select(F.col("v").alias("to"), F.col("root").alias("s")), "to"
+        )
+        apart = cut(apart.where("r != s").select("k", "to", "id", "d"), "apart")
+        if not apart.isEmpty():
+            left = apart.join(members, ["k", "to"]).where(F.col("d") - F.col("e") <= most)
+            more = distances(left.select("id", F.col("y").alias("to")).distinct()).where(F.col("d") <= most)
+            more = cut(more.select(F.col("id").alias("a"), F.col("to").alias("b")), "more")
+            if not more.isEmpty():
+                roots = components(links.unionByName(more).distinct(), ids)
     groups = entries.join(roots.withColumnRenamed("v", "id"), "id").select("fp", F.col("root").alias("group"))
     return marked.join(groups, "fp").groupBy("key").agg(F.min("group").alias("group")).select(F.col("key").alias(key), "group")
 

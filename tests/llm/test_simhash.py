@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import xxhash
 
 from tasteloom.llm import simhash
@@ -73,3 +74,48 @@ def test_one_of_each_group_of_similar_texts(spark):
     groups = dict(map(tuple, simhash.similar_groups(df).collect()))
     assert all(groups[c] == b for c, b in copies.items())
     assert simhash.one_of_each(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def brute_groups(texts):
+    """Smallest key of each group, by all pairs that share a table entry and are near enough."""
+    keys = sorted(texts)
+    bits = np.array([np.unpackbits(np.frombuffer(simhash.long_fingerprint(texts[k]), np.uint8)) for k in keys]).astype(int)
+    root = list(range(len(keys)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    most = simhash.most_bits(simhash.SIMILARITY)
+    for i in range(len(keys) - 1):
+        differs = bits[i + 1:] ^ bits[i]
+        parts = differs[:, : simhash.SEGMENTS * simhash.SEGMENT_BITS].reshape(len(differs), simhash.SEGMENTS, -1).sum(axis=2)
+        for j in np.flatnonzero((parts.min(axis=1) <= 1) & (differs.sum(axis=1) <= most)) + i + 1:
+            a, b = sorted((top(i), top(int(j))))
+            root[b] = a
+    return {k: keys[top(i)] for i, k in enumerate(keys)}
+
+
+def changed(rng, base, n):
+    out = list(base)
+    for i in rng.sample(range(len(out)), n):
+        out[i] = f"new{rng.randrange(10**9)}"
+    return out
+
+
+def test_texts_behind_many_smaller_near_copies(spark):
+    """Copies Z below X, and Y above that is like X but not like the copies; and texts that drift away."""
+    rng, texts = random.Random(7), {}
+    for g in range(12):
+        x = words(rng, 1000)
+        for j in range(30):
+            texts[1000 * g + j] = " ".join(changed(rng, x, 8))
+        texts[1000 * g + 500], texts[1000 * g + 600] = " ".join(x), " ".join(changed(rng, x, 19))
+    for g in range(4):
+        drift, numbers = words(rng, 1000), rng.sample(range(40), 40)
+        for n in numbers:
+            drift = changed(rng, drift, rng.choice([4, 12, 19, 24]))
+            texts[100_000 + 1000 * g + n] = " ".join(drift)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert dict(map(tuple, simhash.similar_groups(df).collect())) == brute_groups(texts)
