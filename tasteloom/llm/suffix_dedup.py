@@ -241,7 +241,8 @@ class ExternalColumns:
 
     FIELDS = {"symbol": np.uint8, "prefix": np.uint8, "piece": np.int32, "length": np.uint8}
 
-    def __init__(self, folder: str, pieces: int):
+    def __init__(self, folder: str, pieces: int, lengths: type = np.uint8):
+        self.FIELDS = self.FIELDS | {"length": lengths}
         self.pieces, self.rows, self.version = pieces, pieces, 0
         self.files = {
             name: [open(os.path.join(folder, f"{name}-{v}"), "w+b", buffering=0) for v in (0, 1)] for name in self.FIELDS
@@ -370,7 +371,7 @@ def covered_windows(rows: np.ndarray, lengths: np.ndarray, docs: np.ndarray, siz
     """(piece, offset) of each window that also starts in a piece of a smaller document."""
     pieces, offsets = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
     with tempfile.TemporaryDirectory() as folder:
-        files = ExternalColumns(folder, len(rows))
+        files = ExternalColumns(folder, len(rows), length_kind(size))
         at, who = np.arange(len(rows)), np.arange(len(rows))
         for length in range(1, int(lengths.max()) + 1):
             live = lengths[who] >= length
@@ -404,7 +405,13 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-PIECE_KINDS = (np.int64, np.uint32, np.uint16, np.uint8, np.uint32, np.uint8)
+def length_kind(size: int) -> type:
+    """Type that holds the length of a piece, at most 2 * size - ANCHOR."""
+    return np.uint8 if 2 * size - ANCHOR <= 255 else np.uint16
+
+
+def piece_kinds(size: int) -> tuple[type, ...]:
+    return np.int64, np.uint32, np.uint16, length_kind(size), np.uint32, np.uint8
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -479,7 +486,7 @@ def _cut_task(buckets: int, size: int):
                     used, local = np.unique(text[part], return_inverse=True)
                     lengths = stops[part] - starts[part]
                     blob = _pack(
-                        np.diff(doc[used], prepend=0), crc[used], local.astype(np.uint16), lengths.astype(np.uint8),
+                        np.diff(doc[used], prepend=0), crc[used], local.astype(np.uint16), lengths.astype(length_kind(size)),
                         (starts[part] - bounds[text[part]]).astype(np.uint32), _gather(data, starts[part], lengths),
                     )
                     rows.append((int(bucket[a]), blob, False))
@@ -499,7 +506,7 @@ def bucket_spans(blobs: list[bytes], size: int) -> pd.DataFrame:
     """Spans (doc, crc, start, stop) covered by smaller documents, among the pieces of one bucket."""
     docs, crcs, lengths, places, bodies = [], [], [], [], []
     for blob in blobs:
-        steps, crc, local, length, place, body = _unpack(blob, *PIECE_KINDS)
+        steps, crc, local, length, place, body = _unpack(blob, *piece_kinds(size))
         docs.append(np.cumsum(steps)[local])
         crcs.append(crc[local])
         lengths.append(length.astype(np.int64))

@@ -65,6 +65,13 @@ def test_other_window_sizes_and_empty_tables(spark):
     assert found(spark, []) == [] and found(spark, [(1, None)]) == brute([(1, None)])
 
 
+def test_pieces_longer_than_a_byte_can_count(spark):
+    rng = random.Random(4)
+    passages = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (210, 400, 900)]
+    rows = [(i, "".join(rng.choice("xyz") for _ in range(i)) + passages[i % 3] + f"end {i}") for i in range(12)]
+    assert found(spark, rows, size=200) == brute(rows, 200)
+
+
 def test_kept_bytes_are_returned_on_request(spark):
     text = "this passage is quite long and it stands in both of the documents."
     df = spark.createDataFrame([(1, text, "x", "y"), (2, "A " + text + " B", "x", "y")], SCHEMA)
