@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tasteloom.sources.scratch import exists, file_system
 from tasteloom.sources.schemas import RECOMMENDATIONS
 
 HISTORY = T.StructType([
@@ -37,8 +38,9 @@ def create_if_missing(spark: SparkSession, path: str) -> None:
 
 
 def _pointer(spark: SparkSession, path: str, schema: str):
-    """The newest pointer row, or None."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    """The newest pointer row, or None; a reader writes nothing."""
+    if not exists(spark, path):
+        return None
     rows = spark.read.schema(schema).parquet(path)
     return rows.orderBy(F.col("version").desc()).first()
 
@@ -88,15 +90,14 @@ def drop_compacted(spark: SparkSession, path: str) -> None:
     pointer = _pointer(spark, f"{path}/{POINTER}", BASE_POINTER)
     if pointer is None:
         return
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, at = file_system(spark, path)
     done = (pointer["run_seq"], pointer["batch_id"])
     held = history(spark, path).select("run_seq", "batch_id").distinct()
     for row in held.toLocalIterator():
         if tuple(row) <= done:
-            fs.delete(hadoop.Path(f"{path}/run_seq={row[0]}/batch_id={row[1]}"), True)
+            fs.delete(at(f"{path}/run_seq={row[0]}/batch_id={row[1]}"), True)
     for version in range(1, pointer["version"]):
-        fs.delete(hadoop.Path(f"{path}/{BASE}/v={version}"), True)
+        fs.delete(at(f"{path}/{BASE}/v={version}"), True)
 
 
 def write_batch(recs: DataFrame, path: str, run_seq: int, batch_id: int) -> None:
@@ -136,11 +137,16 @@ def _bucket(user: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(user), F.lit(buckets)).cast("int")
 
 
-def snapshot_lookup(spark: SparkSession, path: str, user_id: str) -> DataFrame:
-    """The row of one user in the newest snapshot."""
+def snapshot_lookup(spark: SparkSession, path: str, user_id: str, buckets: int | None = None) -> DataFrame:
+    """The row of one user in the newest snapshot.
+
+    The number of buckets is read with the version; one given here must be the same.
+    """
     pointer = _pointer(spark, f"{path}/{POINTER}", SNAPSHOT_POINTER)
     if pointer is None:
         return spark.createDataFrame([], RECOMMENDATIONS)
+    if buckets is not None and buckets != pointer["buckets"]:
+        raise ValueError(f"the snapshot has {pointer['buckets']} buckets, not {buckets}")
     table = spark.read.parquet(f"{path}/v={pointer['version']}")
     key = F.lit(user_id)
     found = table.where((F.col("bucket") == _bucket(key, pointer["buckets"])) & (F.col("UserId") == key))

@@ -11,6 +11,17 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system of ``path``, function from a name to its path there)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at(path))
+
+
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
@@ -26,10 +37,9 @@ def removed_at_end(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _made.reset(token)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for name in made:
-            path = hadoop.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            fs, at = file_system(spark, name)
+            fs.delete(at(name), True)
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
