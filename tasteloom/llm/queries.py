@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tasteloom.llm import decontaminate, hilbert, language, pieces, pii, simhash, suffix_dedup, topk, toxicity, urlfilter
+from tasteloom.llm import (
+    clustering, decontaminate, hilbert, language, mixing, negatives, pieces, pii, simhash, suffix_dedup, topk, toxicity, urlfilter,
+)
 from tasteloom.llm.common import id_hash, n_bytes, table
 
 URL_RULES = [
@@ -91,8 +93,27 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ALL = [op1_suffix_dedup, op2_sentencepiece, op3_benchmark_leaks, op4_language, op5_url_cascade, op6_hilbert_shards, op7_norm_topk, op8_simhash, op9_toxicity, op10_pii, pipeline]
+ALL = [
+    op1_suffix_dedup, op2_sentencepiece, op3_benchmark_leaks, op4_language, op5_url_cascade, op6_hilbert_shards,
+    op7_norm_topk, op8_simhash, op9_toxicity, op10_pii, op11_hard_negatives, op12_simplex_clusters, op13_source_mix,
+    pipeline,
+]
