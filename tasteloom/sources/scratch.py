@@ -22,6 +22,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at(path))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it, if it is there."""
+    fs, at = file_system(spark, path)
+    fs.delete(at(path), True)
+
+
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
@@ -38,8 +44,7 @@ def removed_at_end(spark: SparkSession) -> Iterator[None]:
     finally:
         _made.reset(token)
         for name in made:
-            fs, at = file_system(spark, name)
-            fs.delete(at(name), True)
+            remove(spark, name)
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
