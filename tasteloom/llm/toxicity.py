@@ -1,10 +1,11 @@
 """Toxicity by weak supervision: many voters, a generative model of them, a linear classifier.
 
-Voters say "toxic" or nothing: words of fixed and of mined lexicons, and patterns of writing. The
-generative model has, per voter, how often it speaks in toxic and in other texts; it is fitted by
-expectation maximisation over all documents, with the labels of the training rows as one more, reliable
-voter. Voters that go together beyond what the class explains share their weight. The posterior it
-gives is what the classifier learns.
+Voters speak for one class or abstain: words of fixed and of mined lexicons and ways of writing speak for "toxic",
+the absence of all of them and quiet writing for "clean". The generative model has, per class, how often a
+voter speaks given whether its parent in a tree of voters does; the tree joins the voters that go together most beyond
+what the class explains, so voters that repeat each other count once. The labels of the training rows are one
+more voter, whose accuracy is estimated like the others'. Expectation maximisation runs over the vote patterns of all
+documents until the likelihood stands still. The posterior it gives is what the classifier learns.
 """
 
 from __future__ import annotations
@@ -29,14 +30,16 @@ LEXICONS = {
     "es": "idiota imbécil estúpido basura escoria perdedor patético asqueroso inútil",
 }
 PREFIXES = (4, 5, 6, 7)
-# Most mined words and prefixes that are features, and the first of them that are voters.
-MINED, MINED_VOTERS = 256, 48
-LEAST_DOCS, LEAST_Z = 4, 3.0
+# Features in fewer labelled documents, or with a lower bound of their log odds below this, are not mined.
+LEAST_DOCS, LEAST_ODDS, ERRORS = 4, 1.0, 2.0
+# Most columns of the classifier for mined words, the surest ones, and how many of them are voters.
+WORDS, MINED_VOTERS = 1024, 44
 # Bound of the labelled rows that the classifier is fitted on.
 SAMPLE = 20_000
-ROUNDS = 8
-LABEL_ACCURACY = 0.98
-SHARED = 0.25
+# The label voter's accuracy at the start, and the weight in rows of that opinion.
+LABEL_ACCURACY, LABEL_ROWS = 0.98, 10.0
+# Rounds end when a round gains less than this likelihood per row.
+GAIN, MOST_ROUNDS = 1e-5, 200
 RIDGE = 0.05
 LETTERS = re.compile(r"[^\W\d_]+")
 UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
@@ -78,10 +81,12 @@ def patterns(text: str, count: int) -> list[float]:
 
 @dataclass(frozen=True)
 class Model:
-    """Feature words in order, the first MINED_VOTERS of them voters, and the classifier's weights."""
+    """Feature words, the surest first, the classifier's weights, and what the label model estimates of each voter:
+    the chance that a text for which it speaks is toxic. The last entry is of the labels."""
 
     words: tuple[str, ...]
     weights: np.ndarray
+    toxic_if_said: np.ndarray
 
     def score(self, text: str | None) -> float:
         found, shape = extract(text or "", {w: i for i, w in enumerate(self.words)})
@@ -119,25 +124,30 @@ def design(found: list, shapes: list, words: int) -> np.ndarray:
     return out
 
 
+CLEAN_VOTERS, PATTERN_VOTERS = 2, 5
+
+
 def vote(found: list[int], shape: list[float], lexicons: dict[int, int], mined: int) -> int:
-    """Bits of the voters that say toxic."""
+    """Bits of the voters that speak: mined words, lexicons, patterns of abuse, then the two that say clean."""
     bits = 0
     for i in found:
         if i < mined:
             bits |= 1 << i
         if i in lexicons:
             bits |= lexicons[i]
+    loud = (shape[0] > 0.3, shape[1] > 0, shape[2] > 0.5, shape[3] > 0)
     base = mined + len(LEXICONS)
-    for i, spoken in enumerate((shape[0] > 0.3, shape[1] > 0, shape[2] > 0.5, shape[3] > 0, len(found) > 1)):
+    for i, spoken in enumerate((*loud, len(found) > 1, not found, not any(loud) and shape[0] < 0.1)):
         bits |= int(spoken) << (base + i)
     return bits
 
 
-
 def mine(labelled: DataFrame, text: str, label: str) -> list[str]:
-    """The feature words that most surely go with the label, by the z-score of their log odds.
+    """The feature words that most surely go with the label, by the lower bound of their log odds.
 
-    Document counts run over all rows of ``labelled``, which is read once; only the list, at most MINED long, comes back.
+    Document counts run over all rows of ``labelled``, which is read once, and are summed within a task before
+    they are shuffled. Of words and beginnings that are nested only the surest counts, of equal ones the longest:
+    so each entry is a stem of its own. At most WORDS entries come back.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,9 +167,24 @@ def mine(labelled: DataFrame, text: str, label: str) -> list[str]:
         return []
     t, o = F.col("t") + 0.5, F.col("o") + 0.5
     odds = F.log(t / (sizes["t"] + 1 - t)) - F.log(o / (sizes["o"] + 1 - o))
-    z = odds / F.sqrt(1 / t + 1 / o)
-    top = counts.where((F.col("w") != "") & (F.col("t") + F.col("o") >= LEAST_DOCS) & (z >= LEAST_Z)).select("w", z.alias("z"))
-    return [r["w"] for r in top.orderBy(F.col("z").desc(), "w").limit(MINED).collect()]
+    least = odds - ERRORS * F.sqrt(1 / t + 1 / o)
+    sure = counts.where((F.col("w") != "") & (F.col("t") + F.col("o") >= LEAST_DOCS)).select("w", least.alias("least"))
+    # A stem has at most one feature per beginning on its way, so this many rows hold WORDS stems or nearly so.
+    rows = sure.where(F.col("least") >= LEAST_ODDS).orderBy(F.col("least").desc(), F.length("w").desc(), "w")
+    return stems([r["w"] for r in rows.limit(WORDS * (2 + len(PREFIXES))).collect()])[:WORDS]
+
+
+def stems(ranked: list[str]) -> list[str]:
+    """Those of a ranked list of words and beginnings that are not nested with one before them."""
+    kept, whole, beginnings = [], set(), set()
+    for w in ranked:
+        own = [w.rstrip("*")[:n] for n in range(1, len(w.rstrip("*")) + 1)]
+        if own[-1] in beginnings or not whole.isdisjoint(own):
+            continue
+        kept.append(w)
+        whole.add(own[-1])
+        beginnings.update(own)
+    return kept
 
 
 def fit(
@@ -169,12 +194,13 @@ def fit(
     """A model from texts and, of some of them, labels 0 or 1; None where a class has no example.
 
     ``docs``: all texts, from which the voters' statistics come. ``labels`` (key, label): learned
-    from are rows where ``trains`` holds. Words are mined from all of them; the classifier is fitted on
-    at most ``sample``, those of smallest key hash, so that the choice does not depend on the order.
-    Rows without a key or a label are left out.
+    from are rows where ``trains`` holds. Words are mined and voters are judged by all of them; the classifier alone
+    is fitted on at most ``sample``, those of smallest key hash, so that the choice does not depend on the order.
+    Rows without a key or a label are left out; documents that repeat a key count each, but once in the sample.
     """
-    named = training_labels(labels, trains, key, label)
-    mined = mine(with_labels(docs, named, key, text, label), text, label)
+    named = cut(training_labels(labels, trains, key, label), "named")
+    own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    mined = mine(own.join(named, "_key"), "_text", "_label")
     labelled = training_rows(docs, labels, trains, key, text, label, sample)
     fixed = list(dict.fromkeys(w for words in LEXICONS.values() for w in words.split()))
     words = tuple(mined + [w for w in fixed if w not in set(mined)])
@@ -184,7 +210,7 @@ def fit(
     for k, listed in enumerate(LEXICONS.values()):
         for w in listed.split():
             lexicons[place[w]] = lexicons.get(place[w], 0) | 1 << (n_mined + k)
-    voters = n_mined + len(LEXICONS) + 5
+    voters = n_mined + len(LEXICONS) + PATTERN_VOTERS + CLEAN_VOTERS
 
     def look(bodies: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in bodies:
@@ -194,79 +220,176 @@ def fit(
                 "votes": [vote(found, shape, lexicons, n_mined) for found, shape in rows],
             })
 
-    looked = F.pandas_udf(look, FEATURES)(F.col(text))
-    votes = cut(docs.select(looked["votes"].alias("votes")).groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "votes")
-    rows = labelled.select(F.col(label).cast("int").alias("y"), looked.alias("x")).select("y", "x.*").toPandas()
+    looked = F.pandas_udf(look, FEATURES)
+    rows = labelled.select(F.col(label).cast("int").alias("y"), looked(F.col(text)).alias("x")).select("y", "x.*").toPandas()
     if rows["y"].nunique() < 2:
         return None
+    # Votes meet the labels, texts do not.
+    votes = own.select("_key", looked(F.col("_text"))["votes"].alias("votes")).join(named, "_key", "left")
+    counts = cut(votes.groupBy("votes", F.col("_label").cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n")), "votes")
+    crowd = fit_voters(counts, voters)
     truth = rows["y"].to_numpy(dtype=float)
-    chance = label_model(votes, rows["votes"].to_numpy(), truth, voters)
-    return Model(words, logistic(design(list(rows["found"]), list(rows["patterns"]), len(words)), chance))
+    chance = crowd.chance(_bits(rows["votes"].to_numpy(), voters), truth)
+    weights = logistic(design(list(rows["found"]), list(rows["patterns"]), len(words)), chance)
+    return Model(words, weights, crowd.toxic_if_said())
 
 
 def _bits(votes: np.ndarray, voters: int) -> np.ndarray:
     return ((votes[:, None] >> np.arange(voters)) & 1).astype(float)
 
 
-def label_model(votes: DataFrame, sample: np.ndarray, truth: np.ndarray, voters: int) -> np.ndarray:
-    """Posterior chance of "toxic" for the sample rows.
+@dataclass(frozen=True)
+class Voters:
+    """The generative model. Per class: how often each voter speaks if its parent does (``loud``) or not (``quiet``);
+    how often the label is 1; the share of toxic texts. The root is its own parent and has one rate."""
+
+    parent: np.ndarray
+    loud: np.ndarray
+    quiet: np.ndarray
+    labelled: np.ndarray
+    prior: float
+
+    @classmethod
+    def of(cls, both: np.ndarray, mass: np.ndarray, told: np.ndarray, parent: np.ndarray | None) -> Voters:
+        """From sums per class: pairs of voters that speak together, rows, and labels (class by label).
+
+        Without a tree the one of greatest mutual information of the pairs, given the class, is taken.
+        """
+        if parent is None:
+            parent = widest_tree(shared_information(both, mass))
+        j = np.arange(len(parent))
+        alone = both[:, j, j]
+        together, of_parent = both[:, j, parent], alone[:, parent]
+        loud = (together + 0.5) / (of_parent + 1)
+        quiet = (alone - together + 0.5) / (mass[:, None] - of_parent + 1)
+        root = parent == j
+        loud[:, root] = quiet[:, root] = ((alone + 0.5) / (mass[:, None] + 1))[:, root]
+        opinion = LABEL_ROWS * np.array([1 - LABEL_ACCURACY, LABEL_ACCURACY])
+        share = float(np.clip(mass[1] / max(mass.sum(), 1e-9), 1e-3, 1 - 1e-3))
+        return cls(parent, loud, quiet, (told[:, 1] + opinion) / (told.sum(axis=1) + LABEL_ROWS), share)
+
+    def likelihood(self, spoken: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Log of the chance of each row's votes, label (NaN: none) and class; a column per class."""
+        out = np.empty((len(spoken), 2))
+        for y, share in ((0, 1 - self.prior), (1, self.prior)):
+            rate = np.where(spoken[:, self.parent] > 0, self.loud[y], self.quiet[y])
+            out[:, y] = np.log(share) + np.log(np.where(spoken > 0, rate, 1 - rate)).sum(axis=1)
+            said = np.log(np.where(label == 1, self.labelled[y], 1 - self.labelled[y]))
+            out[:, y] += np.where(np.isnan(label), 0, said)
+        return out
+
+    def chance(self, spoken: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Posterior chance of "toxic" per row."""
+        odds = self.likelihood(spoken, label)
+        return 1 / (1 + np.exp(-np.clip(odds[:, 1] - odds[:, 0], -30, 30)))
+
+    def toxic_if_said(self) -> np.ndarray:
+        """Chance of "toxic" where a voter speaks, each alone; the last entry is of the label 1."""
+        rate, known = np.empty_like(self.loud), self.parent == np.arange(len(self.parent))
+        rate[:, known] = self.loud[:, known]
+        while not known.all():
+            below = ~known & known[self.parent]
+            above = rate[:, self.parent[below]]
+            rate[:, below] = above * self.loud[:, below] + (1 - above) * self.quiet[:, below]
+            known |= below
+        rate = np.column_stack([rate, self.labelled])
+        return self.prior * rate[1] / (self.prior * rate[1] + (1 - self.prior) * rate[0])
+
+
+def shared_information(both: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Mutual information of each pair of voters within a class, summed over classes by their rows."""
+    out = np.zeros(both.shape[1:])
+    for y in (0, 1):
+        n = mass[y] + 2
+        one = (np.diag(both[y]) + 1) / n
+        cells = {(1, 1): (both[y] + 0.5) / n}
+        cells[1, 0] = one[:, None] - cells[1, 1]
+        cells[0, 1] = one[None, :] - cells[1, 1]
+        cells[0, 0] = 1 - cells[1, 1] - cells[1, 0] - cells[0, 1]
+        for (a, b), p in cells.items():
+            p = np.maximum(p, 1e-12)
+            apart = np.where(a, one, 1 - one)[:, None] * np.where(b, one, 1 - one)[None, :]
+            out += mass[y] * p * np.log(p / apart)
+    return out
+
 
-    ``votes`` (votes, n): each vote pattern of all documents with its count. Each round sends
-    the voters' rates out and brings back one row of sums per task.
+def widest_tree(weight: np.ndarray) -> np.ndarray:
+    """Parent of each node in a spanning tree of greatest weight, node 0 being the root."""
+    parent, best = np.zeros(len(weight), dtype=int), weight[0].astype(float).copy()
+    inside = np.zeros(len(weight), dtype=bool)
+    inside[0] = True
+    while not inside.all():
+        new = int(np.where(inside, -np.inf, best).argmax())
+        inside[new] = True
+        closer = (weight[new] > best) & ~inside
+        best[closer], parent[closer] = weight[new][closer], new
+    return parent
+
+
+def fit_voters(counts: DataFrame, voters: int) -> Voters:
+    """The generative model from (votes, label, n): each vote pattern of all documents with its label, if any.
+
+    Rows without a label weigh at most as much as those with one, so that the labels say which class is which
+    however many texts have none. Each round sends the model out and brings back sums of one row per task.
     """
-    spoken = _bits(sample, voters)
-    prior = float(np.clip(truth.mean(), 1e-3, 1 - 1e-3))
-    rate = np.stack([_rates(spoken, 1 - truth), _rates(spoken, truth)])
-    for _ in range(ROUNDS):
-        both, mass = _sums(votes, rate, prior, voters)
-        # The labelled sample keeps the two classes what they are.
-        for y in (0, 1):
-            own = truth == y
-            both[y] += spoken[own].T @ spoken[own]
-            mass[y] += own.sum()
-        rate = np.stack([(np.diag(both[y]) + 0.5) / (mass[y] + 1) for y in (0, 1)])
-        prior = float(np.clip(mass[1] / mass.sum(), 1e-3, 1 - 1e-3))
-    # Correlation of voters within a class: what they share beyond the class counts once.
-    shared = np.zeros((voters, voters))
-    for y in (0, 1):
-        spread = np.sqrt(rate[y] * (1 - rate[y]))
-        joint = both[y] / max(mass[y], 1) - np.outer(rate[y], rate[y])
-        shared = np.maximum(shared, np.where(spread.min() > 0, joint / np.outer(spread, spread), 0))
-    np.fill_diagonal(shared, 0)
-    weight = 1 / (1 + np.where(shared > SHARED, np.minimum(shared, 1), 0).sum(axis=1))
-    told = _odds(spoken, rate, prior, weight) + np.where(truth == 1, 1, -1) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
-    return 1 / (1 + np.exp(-np.clip(told, -30, 30)))
+    marked = F.col("label").isNotNull()
+    totals = counts.agg(
+        F.sum(F.when(marked, F.col("n"))).alias("told"), F.sum(F.when(~marked, F.col("n"))).alias("untold")).first()
+    told, untold = totals["told"] or 0, totals["untold"] or 0
+    light = min(1.0, told / untold) if untold else 1.0
+    weighed = counts.select("votes", F.col("label").cast("double").alias("label"), (F.col("n") * F.when(marked, 1.0).otherwise(light)).alias("n"))
+    # The labelled rows alone give the tree and the first rates.
+    both, mass, labels, _ = _sums(weighed.where("label IS NOT NULL"), None, voters)
+    model = Voters.of(both, mass, labels, None)
+    before = -np.inf
+    for _ in range(MOST_ROUNDS):
+        both, mass, labels, likelihood = _sums(weighed, model, voters)
+        if likelihood - before < GAIN * mass.sum():
+            break
+        model, before = Voters.of(both, mass, labels, model.parent), likelihood
+    return model
 
 
-def _rates(spoken: np.ndarray, mass: np.ndarray) -> np.ndarray:
-    return (mass @ spoken + 0.5) / (mass.sum() + 1)
+def label_model(votes: DataFrame, sample: np.ndarray, truth: np.ndarray, voters: int) -> np.ndarray:
+    """Posterior chance of "toxic" for rows with votes ``sample`` and labels ``truth``.
 
+    ``votes`` (votes, n): each vote pattern of documents without labels, with its count.
+    """
+    named = votes.sparkSession.createDataFrame(
+        [(int(v), int(y), 1) for v, y in zip(sample, truth)], "votes long, label int, n long")
+    counts = votes.select("votes", F.lit(None).cast("int").alias("label"), "n").unionByName(named)
+    return fit_voters(counts, voters).chance(_bits(sample, voters), np.asarray(truth, dtype=float))
 
-def _odds(spoken: np.ndarray, rate: np.ndarray, prior: float, weight: np.ndarray) -> np.ndarray:
-    """Log odds of "toxic" given the votes. Silence of a voter is evidence too."""
-    said, silent = np.log(rate[1] / rate[0]), np.log((1 - rate[1]) / (1 - rate[0]))
-    return np.log(prior / (1 - prior)) + spoken @ (weight * said) + (1 - spoken) @ (weight * silent)
 
+def _sums(rows: DataFrame, model: Voters | None, voters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Per class, how often each two voters speak together, its rows, its labels; and the likelihood.
 
-def _sums(votes: DataFrame, rate: np.ndarray, prior: float, voters: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per class, how often each two voters speak together, and the class's mass."""
+    Without a model a row belongs to the class of its label.
+    """
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        both, mass = np.zeros((2, voters, voters)), np.zeros(2)
+        both, mass, labels, total = np.zeros((2, voters, voters)), np.zeros(2), np.zeros((2, 2)), 0.0
         for batch in batches:
             spoken, n = _bits(batch["votes"].to_numpy(), voters), batch["n"].to_numpy(dtype=float)
-            odds = np.clip(_odds(spoken, rate, prior, np.ones(voters)), -30, 30)
-            chance = n / (1 + np.exp(-odds))
-            for y, share in ((0, n - chance), (1, chance)):
+            label = batch["label"].to_numpy(dtype=float)
+            if model is None:
+                toxic = label
+            else:
+                chances = model.likelihood(spoken, label)
+                total += float(n @ np.logaddexp(chances[:, 0], chances[:, 1]))
+                toxic = 1 / (1 + np.exp(-np.clip(chances[:, 1] - chances[:, 0], -30, 30)))
+            for y, share in ((0, n * (1 - toxic)), (1, n * toxic)):
                 both[y] += spoken.T @ (spoken * share[:, None])
                 mass[y] += share.sum()
-        yield pd.DataFrame({"v": [np.r_[both.ravel(), mass]]})
+                for k in (0, 1):
+                    labels[y, k] += share[label == k].sum()
+        yield pd.DataFrame({"v": [np.r_[both.ravel(), mass, labels.ravel(), total]]})
 
-    flat = votes.mapInPandas(add, "v array<double>").select(F.posexplode("v").alias("i", "x"))
-    out = np.zeros(2 * voters * voters + 2)
+    flat = rows.mapInPandas(add, "v array<double>").select(F.posexplode("v").alias("i", "x"))
+    out = np.zeros(2 * voters * voters + 7)
     for row in flat.groupBy("i").agg(F.sum("x").alias("x")).collect():
         out[row["i"]] = row["x"]
-    return out[:-2].reshape(2, voters, voters), out[-2:]
+    return out[:-7].reshape(2, voters, voters), out[-7:-5], out[-5:-1].reshape(2, 2), float(out[-1])
 
 
 def logistic(x: np.ndarray, chance: np.ndarray) -> np.ndarray:

@@ -75,3 +75,90 @@ def test_words_are_mined_beyond_the_sample(spark):
     few, all_of_them = (t.fit(docs, marked, F.lit(True), sample=n) for n in (40, 400))
     assert few.words == all_of_them.words and "zork*" in few.words
     assert len(few.weights) == len(all_of_them.weights) and not np.allclose(few.weights, all_of_them.weights)
+
+
+def test_unlabelled_copies_change_little(spark):
+    rows, labels = corpus(600, seed=8)
+    docs, marked = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+    copies = [(i + 10_000 * k, text, x, n) for k in range(1, 5) for i, text, x, n in rows]
+    truth, found = {i: y for i, y, _ in labels if i % 4 == 0}, []
+    for texts in (docs, docs.unionByName(spark.createDataFrame(copies, DOCS))):
+        model = t.fit(texts, marked, F.col("doc_id") % 4 != 0)
+        told = docs.where("doc_id % 4 = 0").select("doc_id", t.score(F.col("text"), model).alias("s")).collect()
+        found.append(sum(r["s"] >= 0.5 for r in told if truth[r["doc_id"]]) / sum(truth.values()))
+        assert not any(r["s"] >= 0.5 for r in told if not truth[r["doc_id"]])
+    assert found[0] > 0.95 and abs(found[0] - found[1]) < 0.02
+
+
+def test_copies_of_a_toxic_text_do_not_crowd_out_the_stems(spark):
+    """Words of a text that is often copied are met elsewhere too; the lower bound puts the true stems first."""
+    rng = random.Random(4)
+    rows = [(f"w{rng.randrange(60)} " * 3 + " ".join(f"w{rng.randrange(400)}" for _ in range(60)), 0) for _ in range(1500)]
+    rows += [(" ".join(f"w{i}" for i in range(200, 300)) + " scumx", 1)] * 60
+    rows += [(" ".join(f"w{rng.randrange(400)}" for _ in range(60)) + f" zork{rng.choice('abcdefgh')}st", 1) for _ in range(60)]
+    mined = t.mine(spark.createDataFrame(rows, "text string, toxic int"), "text", "toxic")
+    assert set(mined[:2]) == {"scumx*", "zork*"}
+
+
+def test_stems_are_not_nested():
+    assert t.stems(["trash", "tras*", "lowe*", "lower", "lowei*", "ab", "a*", "tra", "x"]) == ["trash", "lowe*", "ab", "x"]
+
+
+def slow_rounds(rows, voters, parent, rounds):
+    """Expectation maximisation over the same tree, row by row in plain Python."""
+    told = sum(n for _, y, n in rows if y is not None)
+    untold = sum(n for _, y, n in rows if y is None)
+    light = min(1.0, told / untold) if untold else 1.0
+    rows = [([v >> j & 1 for j in range(voters)], y, n * (1.0 if y is not None else light)) for v, y, n in rows]
+    toxic = [y if y is not None else None for _, y, _ in rows]
+    for step in range(rounds + 1):
+        mass, labels = [0.0, 0.0], [[0.0, 0.0], [0.0, 0.0]]
+        one, pair = [[0.0] * voters for _ in "01"], [[0.0] * voters for _ in "01"]
+        for (v, y, n), p in zip(rows, toxic):
+            for k in (0, 1):
+                share = 0.0 if p is None else n * (p if k else 1 - p)
+                mass[k] += share
+                if y is not None:
+                    labels[k][y] += share
+                for j in range(voters):
+                    one[k][j] += share * v[j]
+                    pair[k][j] += share * v[j] * v[parent[j]]
+        prior = min(max(mass[1] / sum(mass), 1e-3), 1 - 1e-3)
+        said = [(labels[k][1] + t.LABEL_ROWS * (t.LABEL_ACCURACY if k else 1 - t.LABEL_ACCURACY)) / (sum(labels[k]) + t.LABEL_ROWS) for k in (0, 1)]
+        toxic = []
+        for v, y, _ in rows:
+            chance = []
+            for k in (0, 1):
+                c = prior if k else 1 - prior
+                for j in range(voters):
+                    up = parent[j]
+                    if up == j:
+                        rate = (one[k][j] + 0.5) / (mass[k] + 1)
+                    elif v[up]:
+                        rate = (pair[k][j] + 0.5) / (one[k][up] + 1)
+                    else:
+                        rate = (one[k][j] - pair[k][j] + 0.5) / (mass[k] - one[k][up] + 1)
+                    c *= rate if v[j] else 1 - rate
+                if y is not None:
+                    c *= said[k] if y else 1 - said[k]
+                chance.append(c)
+            toxic.append(chance[1] / sum(chance))
+    return toxic
+
+
+def test_label_model_equals_plain_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    y = rng.random(900) < 0.3
+    spoken = np.stack([np.where(rng.random(900) < a, y, ~y) for a in (0.9, 0.8, 0.6)] + [rng.random(900) < 0.5], axis=1)
+    spoken = np.column_stack([spoken, spoken[:, 0] ^ (rng.random(900) < 0.05)]).astype(int)
+    votes = spoken @ (1 << np.arange(5))
+    rows = [(int(v), int(k), 1) for v, k in zip(votes[:300], y)] + [(int(v), None, 1) for v in votes[300:]]
+    counts = spark.createDataFrame(rows, "votes long, label int, n long")
+    monkeypatch.setattr(t, "MOST_ROUNDS", 6)
+    monkeypatch.setattr(t, "GAIN", -np.inf)
+    model = t.fit_voters(counts, 5)
+    assert {(4, 0), (0, 4)} & set(enumerate(model.parent))
+    got = model.chance(spoken.astype(float), np.array([k if k is not None else np.nan for _, k, _ in rows], dtype=float))
+    assert np.allclose(got, slow_rounds(rows, 5, list(model.parent), 6), atol=1e-9)
+    sure = model.toxic_if_said()
+    assert sure[0] > sure[1] > sure[2] > 0.33 and abs(sure[3] - 0.3) < 0.1 and sure[5] > 0.9
