@@ -30,10 +30,9 @@ IP_FINE = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 
 # A token that could be an identifier: no white space, with a digit or an at sign.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-# Characters of context looked at on each side of a token; context words are cut to it.
-REACH = 40
-ROUNDS = 3
 SURE, SUPPORT = 0.9, 5
+# Rounds go on while a token is added or one's trust rises by more than this.
+STEP = 1e-3
 
 SPAN = "array<struct<kind:int,start:int,stop:int>>"
 
@@ -75,12 +74,15 @@ def valid(kind: str, match: Column) -> Column:
 
 
 def _words_before(gap: Column) -> Column:
-    """The last word of a text, in lower case without signs; empty where there is none."""
-    return F.lower(F.regexp_extract(F.right(gap, F.lit(REACH)), r"([\p{L}]++)[^\p{L}]*$", 1))
+    """The last word of a text, in lower case without signs; empty where there is none.
+
+    A match begins where a word does and never gives back, so the whole text is read once.
+    """
+    return F.lower(F.regexp_extract(gap, r"(?<!\p{L})([\p{L}]++)[^\p{L}]*+$", 1))
 
 
 def _words_after(gap: Column) -> Column:
-    return F.lower(F.regexp_extract(F.left(gap, F.lit(REACH)), r"^[^\p{L}]*+([\p{L}]++)", 1))
+    return F.lower(F.regexp_extract(gap, r"^[^\p{L}]*+([\p{L}]++)", 1))
 
 
 def _matches(df: DataFrame, kind: str, number: int) -> DataFrame:
@@ -148,13 +150,14 @@ def _edges(matched: DataFrame) -> DataFrame:
     )
 
 
-def discover(matched: DataFrame, rounds: int = ROUNDS, sure: float = SURE, support: int = SUPPORT) -> DataFrame:
+def discover(matched: DataFrame, sure: float = SURE, support: int = SUPPORT, step: float = STEP) -> DataFrame:
     """(value, kind, trust): tokens taken for identifiers by the patterns around them.
 
     A pattern's trust in a kind is the share of what it surrounds that is of the kind, weighed by the
     trust in it; it counts from ``support`` different values on. A token's trust is the chance that not
-    all its patterns err, where a pattern that does not count stays silent. Rounds alternate; the number of rows in
-    the graph never grows.
+    all its patterns err, where a pattern that does not count stays silent. Rounds alternate until no token is
+    added and none's trust rises by more than ``step``. A token keeps its first kind and its highest trust, so rounds
+    come to an end; the number of rows in the graph never grows.
     """
     edges = cut(_edges(matched), "edges")
     # Distinct values per pattern and what it surrounds in all do not change.
@@ -164,17 +167,14 @@ def discover(matched: DataFrame, rounds: int = ROUNDS, sure: float = SURE, suppo
         F.sum(weight).alias("sure"), F.count(F.lit(1)).alias("values")
     )
     unknown = edges.where("kind = -1").select("pattern", "value", "n")
-    tokens = None
-    for i in range(rounds):
-        if tokens is None:
-            trusted = seeds.select("pattern", "kind", "sure", "values")
-        else:
-            more = unknown.join(tokens, "value").groupBy("pattern", "kind").agg(
-                F.sum(F.col("n") * F.col("trust")).alias("sure"), F.count(F.lit(1)).alias("values")
-            )
-            trusted = seeds.unionByName(more).groupBy("pattern", "kind").agg(
-                F.sum("sure").alias("sure"), F.sum("values").alias("values")
-            )
+    tokens = edges.sparkSession.createDataFrame([], "value string, kind int, trust double")
+    while True:
+        more = unknown.join(tokens, "value").groupBy("pattern", "kind").agg(
+            F.sum(F.col("n") * F.col("trust")).alias("sure"), F.count(F.lit(1)).alias("values")
+        )
+        trusted = seeds.unionByName(more).groupBy("pattern", "kind").agg(
+            F.sum("sure").alias("sure"), F.sum("values").alias("values")
+        )
         scored = trusted.join(around, "pattern").where(F.col("values") >= support).select(
             "pattern", "kind", (F.col("sure") / F.col("all")).alias("p")
         )
@@ -183,11 +183,16 @@ def discover(matched: DataFrame, rounds: int = ROUNDS, sure: float = SURE, suppo
         believed = unknown.join(scored, "pattern").groupBy("value", "kind").agg((1 - err).alias("trust"))
         # One kind per token: the surest, the first listed of equals.
         best = believed.groupBy("value").agg(F.max(F.struct("trust", (-F.col("kind")).alias("minus"))).alias("b"))
-        tokens = cut(
-            best.select("value", (-F.col("b.minus")).alias("kind"), F.col("b.trust").alias("trust")).where(F.col("trust") >= sure),
-            "tokens",
-        )
-    return tokens
+        now = best.select("value", (-F.col("b.minus")).alias("k"), F.col("b.trust").alias("t")).where(F.col("t") >= sure)
+        both = now.join(tokens, "value", "full")
+        rises = F.coalesce(F.when(F.col("kind") != F.col("k"), 0.0).otherwise(F.col("t") - F.col("trust")), F.lit(0.0))
+        after = cut(both.select(
+            "value", F.coalesce("kind", "k").alias("kind"), (F.coalesce("trust", "t") + F.greatest(rises, F.lit(0.0))).alias("trust"),
+            (F.col("kind").isNull() | (rises > step)).alias("changed"),
+        ), "tokens")
+        tokens = after.drop("changed")
+        if after.where("changed").isEmpty():
+            return tokens
 
 
 def with_identifiers(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -256,9 +261,10 @@ def with_masked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     found = with_identifiers(docs, key, text)
     spans = F.concat(*KINDS, "added")
-    held = found.where(F.size(spans) > 0).select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash"), spans.alias("_spans"))
-    held = held.dropDuplicates(["_key", "_hash"])
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    joined = hashed.join(held, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_hash")), "left")
-    masked_text = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(masked(F.col(text), F.col("_spans")))
-    return joined.withColumn(text, masked_text).select(*docs.columns)
+    held = found.where(F.size(spans) > 0).select(F.col(key).alias("key"), F.col("text_hash").alias("hash"), spans.alias("spans"))
+    held = held.dropDuplicates(["key", "hash"]).alias("held")
+    # Frames have names here, so columns of ``docs`` may have any.
+    own, body = docs.alias("own"), F.col(f"own.`{text}`")
+    same = F.col(f"own.`{key}`").eqNullSafe(F.col("held.key")) & (F.xxhash64(F.coalesce(body, F.lit(""))) == F.col("held.hash"))
+    changed = F.when(F.col("held.spans").isNull(), body).otherwise(masked(body, F.col("held.spans"))).alias(text)
+    return own.join(held, same, "left").select(*[changed if c == text else F.col(f"own.`{c}`") for c in docs.columns])

@@ -75,6 +75,32 @@ def test_contexts_discover_what_no_form_matches(spark):
     assert got[13]["added"] == [] and got[14]["added"] == []
 
 
+def test_rounds_go_on_until_nothing_is_added(spark):
+    """A chain: each group of tokens is found by the context of the one before it."""
+    often = lambda sentence: " ".join([sentence] * 20)
+    texts = [often(f"ctxax user{i}@site{i}.org zz") for i in range(8)]
+    for link in range(6):
+        before, after = (f"ctx{'abcdefg'[n]}x" for n in (link, link + 1))
+        texts += [f"{before} t{link}n{i} yy " + often(f"{after} t{link}n{i} zz") for i in range(8)]
+    got = result(spark, texts)
+    assert all(len(r["added"]) == 21 for i, r in got.items() if i >= 8)
+
+
+def test_words_behind_long_runs_of_signs(spark):
+    far = " -" * 500
+    texts = [f"mailbox{far} user{i}@site{i}.org{far} please" for i in range(9)] + [f"mailbox{far} user(at)9 {far} please"]
+    got = result(spark, texts)
+    assert [texts[9][s["start"]:s["stop"]] for s in got[9]["added"]] == ["user(at)9"]
+    long = ["x" * 300_000 + " a@b.co " + "y" * 300_000, "é- " * 100_000 + "1.2.3.4"]
+    assert [r["base"].count(":") for _, r in sorted(result(spark, long).items())] == [2, 2]
+
+
+def test_columns_of_any_name_pass_the_masking(spark):
+    df = spark.createDataFrame([(1, "a@b.co", "x", "y", 3, 4, "z")],
+                               "doc_id long, text string, key string, hash string, _key int, _spans int, spans string")
+    assert [tuple(r) for r in pii.with_masked(df).collect()] == [(1, "[EMAIL]", "x", "y", 3, 4, "z")]
+
+
 def test_unsure_contexts_discover_nothing(spark):
     texts = [f"write to user{i}@site.org now" for i in range(10)] + [f"write to room{i} now" for i in range(10)]
     assert all(r["added"] == [] for r in result(spark, texts).values())
