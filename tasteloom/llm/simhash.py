@@ -153,164 +153,20 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-# Groups of similar texts. Fingerprints are longer here, as a similarity of 0.8 leaves one bit in seven
-# different: the first bits are looked up by segments, all of them tell the distance.
-SEGMENTS, SEGMENT_BITS, LONG_BITS = 24, 24, 2048
-SHINGLE_WORDS, SIMILARITY = 5, 0.8
-
-
-def most_bits(similarity: float, bits: int = LONG_BITS) -> int:
-    """Bits that fingerprints of texts of this Jaccard similarity differ in, on average.
-
-    Two sets of one size and Jaccard similarity J have the cosine 2J / (1 + J), and each bit
-    differs with the angle's share of a half turn.
-    """
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return round(bits * share)
-
-
-def long_fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> bytes:
-    """LONG_BITS bits over the distinct word shingles; all zero without words."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not tokens:
-        return bytes(LONG_BITS // 8)
-    shingles = {b" ".join(tokens)} if len(tokens) < words else set(map(b" ".join, zip(*(tokens[i:] for i in range(words)))))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype=np.uint64, count=len(shingles))
-    ones = np.zeros(LONG_BITS, dtype=np.int64)
-    factors = np.arange(1, LONG_BITS // 32, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for start in range(0, len(hashes), 255):  # sums of so many bits fit in a byte
-        h = hashes[start : start + 255, None]
-        with np.errstate(over="ignore"):
-            h = (h ^ (h >> np.uint64(29))) * factors
-            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(31)
-        ones += np.unpackbits(h.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
-    return np.packbits(2 * ones > len(hashes)).tobytes()
-
-
-def lookups(entries: DataFrame) -> DataFrame:
-    """(id, k, own): the keys of an entry's segments, and those one bit away that have a bit more.
-
-    A key is the segment's number and value. Two entries one bit apart meet where the one with the bit is stored.
-    """
-
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tags = np.arange(SEGMENTS, dtype=np.int64) << SEGMENT_BITS
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start : start + 256]
-                raw = np.frombuffer(b"".join(part["fp"]), dtype=np.uint8).reshape(len(part), -1)
-                raw = raw[:, : SEGMENTS * SEGMENT_BITS // 8].reshape(len(part), SEGMENTS, -1).astype(np.int64)
-                weights = 1 << np.arange(SEGMENT_BITS - 8, -1, -8)
-                own = (raw * weights).sum(axis=2) | tags
-                near = own[:, :, None] | (1 << np.arange(SEGMENT_BITS))
-                row, _, _ = new = np.nonzero(near != own[:, :, None])
-                ids = part["id"].to_numpy()
-                yield pd.DataFrame({"id": np.repeat(ids, SEGMENTS), "k": own.ravel(), "own": True})
-                yield pd.DataFrame({"id": ids[row], "k": near[new], "own": False})
-
-    return entries.select("id", "fp").mapInPandas(keys, "id long, k long, own boolean")
-
-
-def _differs(a: Column, b: Column) -> Column:
-    """Number of different bits of two binary columns of one length."""
-
-    @F.pandas_udf("int")
-    def count(x: pd.Series, y: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype="int32")
-        left = np.frombuffer(b"".join(x), dtype=np.uint8).reshape(len(x), -1)
-        right = np.frombuffer(b"".join(y), dtype=np.uint8).reshape(len(y), -1)
-        return pd.Series(np.bitwise_count(left ^ right).sum(axis=1).astype(np.int32))
-
-    return count(a, b)
-
-
-def similar_groups(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
-) -> DataFrame:
-    """(key, group): for each key the smallest key of its group of similar texts.
-
-    Multi-index hashing over SEGMENTS tables: a text is looked up by each segment and by the ball of one bit
-    around it, and complete fingerprints decide. In a table entry, all texts are held against the smallest key; those
-    like it are its members, and a next smallest is taken from the rest until none is left. Members still meet
-    each later smallest, as they may be like it. Members of two that are not like each other's smallest are
-    compared at the end if their groups are still apart, so a group of n texts costs n comparisons per smallest
-    key and not n squared. What the triangle inequality rules out is not compared. Rows without a key take no part. Equal fingerprints are one entry; texts without words
-    are alike. Rows of one key must have one text, or their groups are joined. An empty table gives no rows.
-    """
-    own = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-
-    def prints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([long_fingerprint(t, words) for t in batch])
-
-    prints_of = own.select("key", F.pandas_udf(prints, "binary")(F.col("text")).alias("fp"))
-    marked = cut(prints_of, "prints")
-    entries = cut(marked.groupBy("fp").agg(F.min("key").alias("id")), "entries")
-
-    most, ids = most_bits(similarity), entries.select(F.col("id").alias("v"))
-
-    def distances(pairs: DataFrame) -> DataFrame:
-        """(id, to, d) of distinct pairs."""
-        both = pairs.join(entries.withColumnRenamed("fp", "x"), "id").join(
-            entries.select(F.col("id").alias("to"), F.col("fp").alias("y")), "to"
-        )
-        return both.select("id", "to", _differs(F.col("x"), F.col("y")).alias("d"))
-
-    # p: the distance to the first smallest of the entry, known from the first round on.
-    rows = lookups(entries).withColumn("p", F.lit(None).cast("int"))
-    links = members = rings = None
-    while True:
-        least = rows.where("own").groupBy("k").agg(F.min(F.struct("id", "p")).alias("m"))
-        least = cut(least.select("k", F.col("m.id").alias("to"), F.col("m.p").alias("q")), "least")
-        met = cut(rows.hint("merge").join(least, "k").where(F.col("id") != F.col("to")), "met")
-        if met.isEmpty():
-            break
-        # Farther from each other than this, neither the smallest nor a member of it can be like the text.
-        within = F.col("p").isNull() | (F.abs(F.col("p") - F.col("q")) <= 2 * most)
-        asked = cut(distances(met.where(within).select("id", "to").distinct()), "distances")
-        told = cut(met.select("k", "id", "own", "p", "to").join(asked, ["id", "to"], "left"), "told")
-        near, d = asked.where(F.col("d") <= most).select(F.col("id").alias("a"), F.col("to").alias("b")), F.col("d")
-        member = told.where(F.col("own") & (d <= most)).select("k", "to", F.col("id").alias("y"), d.alias("e"))
-        ring = told.where(~F.col("own") & (d > most) & (d <= 2 * most)).select("k", "to", "id", "d")
-        links = near if links is None else links.unionByName(near)
-        members = member if members is None else members.unionByName(member)
-        rings = ring if rings is None else rings.unionByName(ring)
-        still = F.col("own") & F.coalesce(d > most, F.lit(True))
-        rows = told.select("k", "id", still.alias("own"), F.coalesce("p", "d").alias("p"))
-    if links is None:
-        roots = entries.select(F.col("id").alias("v"), F.col("id").alias("root"))
-    else:
-        links = links.distinct()
-        roots = cut(components(links, ids), "groups")
-        # A text near a smallest but not like it, and the members it may be like, if in different groups.
-        apart = rings.join(roots.select(F.col("v").alias("id"), F.col("root").alias("r")), "id").join(
-            roots.select(F.col("v").alias("to"), F.col("root").alias("s")), "to"
-        )
-        apart = cut(apart.where("r != s").select("k", "to", "id", "d"), "apart")
-        if not apart.isEmpty():
-            left = apart.join(members, ["k", "to"]).where(F.col("d") - F.col("e") <= most)
-            more = distances(left.select("id", F.col("y").alias("to")).distinct()).where(F.col("d") <= most)
-            more = cut(more.select(F.col("id").alias("a"), F.col("to").alias("b")), "more")
-            if not more.isEmpty():
-                roots = components(links.unionByName(more).distinct(), ids)
-    groups = entries.join(roots.withColumnRenamed("v", "id"), "id").select("fp", F.col("root").alias("group"))
-    return marked.join(groups, "fp").groupBy("key").agg(F.min("group").alias("group")).select(F.col("key").alias(key), "group")
-
-
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that are the smallest of their group of similar texts, columns unchanged.
+    """One row of each group of near duplicates, the one with the smallest key; columns unchanged.
 
-    Rows without a key stay. Of rows that repeat a key, one stays.
+    Groups are those of ``near_duplicates``, which takes ``how``. Rows without a key stay. A key that several
+    rows have goes if one of them is near a smaller key; else one of its rows stays, the same at every run. An
+    empty table gives no rows. Columns may have any name.
     """
-    groups = similar_groups(docs, key, text, **how)
-    gone = groups.where(F.col("group") < F.col(key)).select(F.col(key).alias("_gone"))
-    kept = docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
-    twice = cut(docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice")
-    if twice.isEmpty():
-        return kept
-    again = twice.select(F.col(key).alias("_again"))
-    once = kept.join(again, kept[key] == F.col("_again"), "left_anti")
-    return once.unionByName(kept.join(again, kept[key] == F.col("_again"), "left_semi").dropDuplicates([key]))
+    told = near_duplicates(docs, key, text, **how).where(F.col(key).isNotNull())
+    leads, n = F.col("component_id") == F.col(key), F.count(F.lit(1))
+    kept = cut(told.groupBy(key).agg(F.min(leads).alias("leads"), n.alias("n")).where("leads").select(F.col(key).alias("kept"), "n"), "kept")
+    own, once = docs.alias("d"), kept.where("n = 1").alias("k")
+    rows = own.join(once, F.col(f"d.`{key}`") == F.col("k.kept"), "left_semi")
+    repeated = own.join(kept.where("n > 1").alias("k"), F.col(f"d.`{key}`") == F.col("k.kept"), "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = repeated.select(F.col(f"`{key}`").alias("k"), row.alias("row")).groupBy("k").agg(
+        F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    return docs.where(F.col(key).isNull()).unionByName(rows).unionByName(one)

@@ -1,8 +1,16 @@
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as c
 from tasteloom.llm import queries
 from tests.conftest import SF
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Names that operators use for columns of their own.
+CLASHING = ["key", "_key", "_hash", "_spans", "_gone", "_again", "fp", "component_id", "kept", "n", "s", "leaks", "_leaks", "_text",
+            "_label", "votes", "label", "toxic", "value", "k", "row", "d", "ids", "spans", "hash", "text_hash", "item_id"]
 
 
 def test_stages_filter_and_keep_the_columns(spark, tmp_path):
@@ -21,11 +29,48 @@ def test_stages_filter_and_keep_the_columns(spark, tmp_path):
 
 def test_empty_documents_pass_all_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
-    for _, stage in c.STAGES[1:]:
+    for _, stage in c.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
 
 
+@pytest.mark.parametrize("number", range(5))
+def test_each_stage_takes_edge_rows_and_clashing_names(spark, number):
+    """Nulls in any column, empty, repeated and very long texts, a key that repeats, extra columns of any name."""
+    name, stage = c.STAGES[number]
+    clean = "a quiet line about nothing at all, number one"
+    rows = [
+        (900_001, clean, "en", "s", 45), (900_001, clean, "en", "s", 45), (900_002, None, None, None, None), (900_003, "", "", "", 0),
+        (None, "only text here", None, "s", 1), (900_004, "long words here " * 40_000, "en", "s", 1), (900_005, "x" * 300_000, "en", "s", 1),
+        (900_006, " \n\t ", "en", None, 3), (900_007, "mail me at some.one@example.org please", "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for i, extra in enumerate(CLASHING):
+        docs = docs.withColumn(extra, F.lit(i))
+    got = stage(spark, docs, SF)
+    ids = sorted((r["doc_id"] for r in got.select("doc_id").collect()), key=str)
+    everything = sorted((i for i, *_ in rows), key=str)
+    if name == "simhash":
+        # Null, empty and blank texts are alike, and so are the repeated rows.
+        assert ids == sorted([900_001, 900_002, 900_004, 900_005, 900_007, None], key=str)
+    else:
+        assert ids == everything
+    if number < 4:
+        assert got.columns == docs.columns
+    if name == "pii":
+        texts = {r["doc_id"]: r["text"] for r in got.select("doc_id", "text").collect()}
+        assert texts[900_007] == "mail me at [EMAIL] please" and texts[900_002] is None and texts[900_001] == clean
+    if name == "sentencepiece":
+        assert got.where("NOT round_trip").count() == 0
+
+
+def test_intermediate_tables_are_deleted(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(folder.iterdir())
+    assert c.run(spark, "/root/testdata/sf0.001").count() > 100
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["sentencepiece"]
+
+
 def test_every_operator_has_its_query():
     names = [q.__name__ for q in queries.ALL]
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]

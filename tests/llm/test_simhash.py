@@ -50,72 +50,48 @@ def test_components_ties_and_edge_rows(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def words(rng, n):
-    return [f"w{rng.randrange(5000)}" for _ in range(n)]
-
-
-def test_one_of_each_group_of_similar_texts(spark):
-    rng = random.Random(1)
-    rows, copies = [], {}
-    for i in range(30):
-        base = words(rng, 300)
-        rows.append((10 * i, " ".join(base)))
-        for j in range(1, 4):
-            near = list(base)
-            near[rng.randrange(300)] = "changed"
-            copies[10 * i + j] = 10 * i
-            rows.append((10 * i + j, " ".join(near)))
-    rows += [(1000 + i, " ".join(words(rng, 200))) for i in range(40)] + [(2000, None), (2001, ""), (2000, None), (None, "x")]
-    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
-    kept = [r["doc_id"] for r in simhash.one_of_each(df).collect()]
-    want = [10 * i for i in range(30)] + [1000 + i for i in range(40)] + [2000]
-    assert sorted(k for k in kept if k is not None) == want and kept.count(None) == 1
-    assert simhash.one_of_each(df).columns == df.columns
-    groups = dict(map(tuple, simhash.similar_groups(df).collect()))
-    assert all(groups[c] == b for c, b in copies.items())
-    assert simhash.one_of_each(spark.createDataFrame([], SCHEMA)).collect() == []
-
-
-def brute_groups(texts):
-    """Smallest key of each group, by all pairs that share a table entry and are near enough."""
-    keys = sorted(texts)
-    bits = np.array([np.unpackbits(np.frombuffer(simhash.long_fingerprint(texts[k]), np.uint8)) for k in keys]).astype(int)
-    root = list(range(len(keys)))
-
-    def top(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    most = simhash.most_bits(simhash.SIMILARITY)
-    for i in range(len(keys) - 1):
-        differs = bits[i + 1:] ^ bits[i]
-        parts = differs[:, : simhash.SEGMENTS * simhash.SEGMENT_BITS].reshape(len(differs), simhash.SEGMENTS, -1).sum(axis=2)
-        for j in np.flatnonzero((parts.min(axis=1) <= 1) & (differs.sum(axis=1) <= most)) + i + 1:
-            a, b = sorted((top(i), top(int(j))))
-            root[b] = a
-    return {k: keys[top(i)] for i, k in enumerate(keys)}
-
-
-def changed(rng, base, n):
-    out = list(base)
-    for i in rng.sample(range(len(out)), n):
-        out[i] = f"new{rng.randrange(10**9)}"
+def bits(a, b):
+    return bin(a ^ b).count("1")
+
+
+def brute_components(rows):
+    """Smallest key that each row's fingerprint reaches in steps of at most two bits."""
+    prints = {p: None for p in (slow_fingerprint(t) for _, t in rows)}
+    left, out = set(prints), {}
+    while left:
+        group, todo = set(), [left.pop()]
+        while todo:
+            p = todo.pop()
+            group.add(p)
+            near = {q for q in left if bits(p, q) <= 2}
+            left -= near
+            todo += near
+        keys = [i for i, t in rows if i is not None and slow_fingerprint(t) in group]
+        out |= {p: min(keys, default=None) for p in group}
     return out
 
 
-def test_texts_behind_many_smaller_near_copies(spark):
-    """Copies Z below X, and Y above that is like X but not like the copies; and texts that drift away."""
-    rng, texts = random.Random(7), {}
-    for g in range(12):
-        x = words(rng, 1000)
-        for j in range(30):
-            texts[1000 * g + j] = " ".join(changed(rng, x, 8))
-        texts[1000 * g + 500], texts[1000 * g + 600] = " ".join(x), " ".join(changed(rng, x, 19))
-    for g in range(4):
-        drift, numbers = words(rng, 1000), rng.sample(range(40), 40)
-        for n in numbers:
-            drift = changed(rng, drift, rng.choice([4, 12, 19, 24]))
-            texts[100_000 + 1000 * g + n] = " ".join(drift)
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert dict(map(tuple, simhash.similar_groups(df).collect())) == brute_groups(texts)
+def corpus(rng):
+    """Texts, exact copies, copies with a word changed far in, and edge rows."""
+    rows = []
+    for i in range(40):
+        base = [f"w{rng.randrange(5000)}" for _ in range(800)]
+        rows.append((10 * i + 1, " ".join(base)))
+        rows += [(10 * i + 2 + j, " ".join(base[:-1] + [f"end{j % 2}"])) for j in range(3)]
+    rows += [(1000 + i, rows[0][1]) for i in range(50)] + [(2000, None), (2001, ""), (2000, None), (None, "x"), (5000, "long " * 60_000)]
+    return rows + [(9, rows[4][1]), (9, "a text of its own"), (3000, "one more text here"), (3000, "one more text here")]
+
+
+def test_one_of_each_equals_brute_force_with_clashing_names(spark):
+    rows = corpus(random.Random(1))
+    roots = brute_components(rows)
+    schema = "doc_id long, text string, kept long, n int, k string, row string, d string, component_id long, fp string, key string"
+    df = spark.createDataFrame([(i, t, 1, 2, "a", "b", "c", 3, "d", "e") for i, t in rows], schema)
+    got = simhash.one_of_each(df)
+    kept = [r["doc_id"] for r in got.collect()]
+    leads = {i for i, t in rows if i is not None} - {i for i, t in rows if i is not None and roots[slow_fingerprint(t)] < i}
+    assert got.columns == df.columns and sorted(k for k in kept if k is not None) == sorted(leads) and kept.count(None) == 1
+    assert 1000 not in leads and 3000 in leads and len(leads) < len(rows) / 2
+    told = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df).collect() if r["doc_id"] not in (9, None)}
+    assert told == {i: roots[slow_fingerprint(t)] for i, t in rows if i not in (9, None)}
+    assert simhash.one_of_each(spark.createDataFrame([], schema)).collect() == []
