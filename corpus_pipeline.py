@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.llm import decontaminate, pieces, pii, simhash, toxicity
 from tasteloom.llm.common import id_hash, table
-from tasteloom.sources.scratch import scratch_dir
+from tasteloom.sources.scratch import remove, removed_at_end, scratch_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest by id, of each group of texts with 0.8 of their five-word shingles in common."""
-    return simhash.one_of_each(docs)
+    """One document, the smallest by id, of each group of fingerprints over three words that two bits or fewer link."""
+    return simhash.one_of_each(docs, words=3, radius=2)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,10 +58,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each result is a table before the next stage reads it."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in order; each result is a table before the next stage reads it.
+
+    A stage's own intermediate tables are deleted once its result is written, and that once the next has read it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_dir(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with removed_at_end(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
