@@ -11,6 +11,7 @@ documents until the likelihood stands still. The posterior it gives is what the
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -142,25 +143,40 @@ def vote(found: list[int], shape: list[float], lexicons: dict[int, int], mined:
     return bits
 
 
+def packed(text: Column) -> Column:
+    """The distinct words of each whole text, compressed: what is shuffled where texts meet their labels."""
+
+    def pack(bodies: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in bodies:
+            yield pd.Series([zlib.compress(" ".join(sorted(tokens(b or ""))).encode(), 1) for b in batch])
+
+    return F.pandas_udf(pack, "binary")(text)
+
+
 def mine(labelled: DataFrame, text: str, label: str) -> list[str]:
+    """``mined`` of whole texts."""
+    return mined(labelled.select(packed(F.col(text)).alias("words"), F.col(label).alias("label")))
+
+
+def mined(labelled: DataFrame) -> list[str]:
     """The feature words that most surely go with the label, by the lower bound of their log odds.
 
-    Document counts run over all rows of ``labelled``, which is read once, and are summed within a task before
-    they are shuffled. Of words and beginnings that are nested only the surest counts, of equal ones the longest:
-    so each entry is a stem of its own. At most WORDS entries come back.
+    Document counts run over all rows of ``labelled`` (words as ``packed``, label), which is read once, and are summed
+    within a task before they are shuffled. Of words and beginnings that are nested only the surest counts, of equal
+    ones the longest: so each entry is a stem of its own. At most WORDS entries come back.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             toxic, other = Counter(), Counter()
-            for body, y in zip(batch[text], batch[label]):
+            for words, y in zip(batch["words"], batch["label"]):
                 own = toxic if y else other
-                own.update(features(tokens(body or "")))
+                own.update(features(set(zlib.decompress(words).decode().split(" ")) - {""}))
                 own[""] += 1  # no word is empty: the number of documents
             names = list(toxic.keys() | other.keys())
             yield pd.DataFrame({"w": names, "t": [toxic[w] for w in names], "o": [other[w] for w in names]})
 
-    counts = labelled.select(text, label).mapInPandas(count, "w string, t long, o long")
+    counts = labelled.select("words", "label").mapInPandas(count, "w string, t long, o long")
     counts = cut(counts.groupBy("w").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "counts")
     sizes = counts.where("w = ''").first()
     if sizes is None or not sizes["t"] or not sizes["o"]:
@@ -200,12 +216,14 @@ def fit(
     """
     named = cut(training_labels(labels, trains, key, label), "named")
     own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    mined = mine(own.join(named, "_key"), "_text", "_label")
+    # Merged at every size: both sides grow with the documents.
+    words_of = own.where(F.col("_key").isNotNull()).select("_key", packed(F.col("_text")).alias("words"))
+    sure = mined(words_of.hint("merge").join(named, "_key").select("words", F.col("_label").alias("label")))
     labelled = training_rows(docs, labels, trains, key, text, label, sample)
     fixed = list(dict.fromkeys(w for words in LEXICONS.values() for w in words.split()))
-    words = tuple(mined + [w for w in fixed if w not in set(mined)])
+    words = tuple(sure + [w for w in fixed if w not in set(sure)])
     place = {w: i for i, w in enumerate(words)}
-    n_mined = min(len(mined), MINED_VOTERS)
+    n_mined = min(len(sure), MINED_VOTERS)
     lexicons: dict[int, int] = {}
     for k, listed in enumerate(LEXICONS.values()):
         for w in listed.split():
