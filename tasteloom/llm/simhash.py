@@ -163,7 +163,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **how)
     told = near_duplicates(docs, key, text, **how).where(F.col(key).isNotNull())
     leads, n = F.col("component_id") == F.col(key), F.count(F.lit(1))
     kept = cut(told.groupBy(key).agg(F.min(leads).alias("leads"), n.alias("n")).where("leads").select(F.col(key).alias("kept"), "n"), "kept")
-    own, once = docs.alias("d"), kept.where("n = 1").alias("k")
+    # Merged at every size: both sides grow with the documents.
+    own, once = docs.hint("merge").alias("d"), kept.where("n = 1").alias("k")
     rows = own.join(once, F.col(f"d.`{key}`") == F.col("k.kept"), "left_semi")
     repeated = own.join(kept.where("n > 1").alias("k"), F.col(f"d.`{key}`") == F.col("k.kept"), "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
