@@ -451,8 +451,31 @@ def gauge_sum_by_group(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select("event_type", F.round("total", 6).alias("total"))
 
 
+def rate_counter_resets(spark: SparkSession, sf: str) -> DataFrame:
+    """Cumulative counts per event type and instance, begun again each day, as rates of six hours every hour."""
+    rates = metrics.counter_rate(t.counters(spark, sf), "ts", ["event_type", "instance"], "total", 21_600, 3_600)
+    sums = rates.groupBy("event_type", "at").agg(F.sum("increase").alias("increase"), F.sum("per_second").alias("per_second"))
+    return sums.select("event_type", "at", F.round("increase", 6).alias("increase"), F.round("per_second", 9).alias("per_second"))
+
+
+def gauge_sum_range(spark: SparkSession, sf: str) -> DataFrame:
+    """At each minute the sum over users of their last value within five minutes."""
+    sums = metrics.gauge_sum_range(
+        t.table(spark, sf, "events"), "event_type", "ts", ["user_id"], "value", ["event_id"], "c.*|pur.*|view", 60, 300)
+    return sums.select("event_type", "at", F.round("total", 6).alias("total"))
+
+
 # Streams
 
+def p99_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """P99 of six hours every hour from merged sketches, and whether it lies within the sketch's error of the exact rank."""
+    events = t.table(spark, sf, "events").select("ts", "event_type", "value")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf}/events.parquet*")
+    told = metrics.stream_quantile(stream, "ts", "event_type", "value", 0.99, "6 hours", "1 hour", "10 minutes")
+    closed = _all_available(told, scratch_dir(spark, "quantiles"))
+    return metrics.rank_within(closed, events, "ts", "event_type", "value", 0.99, 21_600, 3_600)
+
+
 def _all_available(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
     spark = stream.sparkSession
     writer = stream.writeStream.format("parquet").option("path", path).outputMode(mode)
@@ -528,6 +551,6 @@ ALL = [
     recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted,
     serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_lookup_text, serve_empty_table, recs_count,
     registry_latest, registry_versions, registry_metrics,
-    rate_by_handler, rate_by_handler_5m, p99_histogram, p99_exact, gauge_sum_by_group,
+    rate_by_handler, rate_by_handler_5m, p99_histogram, p99_exact, gauge_sum_by_group, rate_counter_resets, gauge_sum_range, p99_sliding,
     stream_parse, stream_rate_by_handler, stream_recommend, stream_model_swap,
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tasteloom.sources.scratch import scratch_dir
@@ -54,6 +54,19 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reviews(spark, sf_dir).select(value.alias("value"))
 
 
+def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_type, instance, ts, total): at each event the count so far of its type and instance, from 0 again each day.
+
+    Instances begin again at different hours. A day of one instance is the largest window.
+    """
+    instance, second = F.col("user_id") % 3, F.unix_timestamp("ts")
+    events = table(spark, sf_dir, "events").select(
+        "event_type", instance.alias("instance"), "ts", "event_id",
+        F.floor((second + instance * 7200) / 86_400).alias("day"))
+    along = Window.partitionBy("event_type", "instance", "day").orderBy("ts", "event_id")
+    return events.select("event_type", "instance", "ts", F.row_number().over(along).alias("total"))
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as rating events of every fifth user number, so that some have no factor vector."""
     return table(spark, sf_dir, "events").select(
