@@ -1,0 +1,35 @@
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from tasteloom.streaming import ingest
+
+MESSAGES = [
+    (0, '{"UserId":"a","ProductId":"p","Score":4.0,"Time":7}'), (1, "garbage"), (2, ""), (3, None), (4, "  "),
+    (5, '[{"UserId":"e"}]'), (6, '{"UserId":null}'), (7, '{"Score":1}'), (8, '{"UserId":"b"'), (9, ' {"UserId":"c","Score":"x"}'),
+    (10, '{"UserId":"a","ProductId":"p","Score":4.0,"Time":7}'), (11, "7"),
+]
+
+
+def test_bad_messages_go_to_a_table_of_their_own(spark, tmp_path):
+    feed = str(tmp_path / "feed")
+    spark.createDataFrame(MESSAGES, "offset long, value string").repartition(4).write.parquet(feed)
+    stream = spark.readStream.schema("offset long, value string").option("maxFilesPerTrigger", 1).parquet(feed)
+    path, offsets, fail = str(tmp_path / "out"), str(tmp_path / "offsets"), [(ingest.GOOD, 0), (ingest.BAD, 0), (ingest.COUNTS, 2)]
+
+    def after(table, batch):
+        if (table, batch) in fail:
+            fail.remove((table, batch))
+            raise RuntimeError("lost between writing and committing")
+
+    for _ in range(3):
+        with pytest.raises(StreamingQueryException):
+            ingest.start_ingest(stream, path, offsets, {"availableNow": True}, after).awaitTermination()
+    ingest.start_ingest(stream, path, offsets, {"availableNow": True}, after).awaitTermination()
+    assert not fail
+    good = sorted((r["UserId"], r["ProductId"], r["Score"], r["Time"]) for r in ingest.events(spark, path).collect())
+    assert good == [("a", "p", 4.0, 7), ("a", "p", 4.0, 7), ("c", None, None, None)]
+    bad = {r["offset"]: (r["value"], r["reason"]) for r in ingest.rejected(spark, path).collect()}
+    reasons = {1: "not an object", 2: "empty", 3: "empty", 4: "empty", 5: "not an object", 6: "no user", 7: "no user", 8: "not an object", 11: "not an object"}
+    assert bad == {i: (dict(MESSAGES)[i], why) for i, why in reasons.items()}
+    counts = ingest.counts(spark, path).collect()
+    assert sum(r["n"] for r in counts) == 12 and sum(r["bad"] for r in counts) == 9 and len({r["batch"] for r in counts}) == len(counts)

@@ -276,3 +276,11 @@ SQL["p99_sliding"] = """WITH placed AS (
         SELECT event_type, value, date_trunc('hour', ts) - INTERVAL 1 HOUR * unnest(range(6)) AS window_start FROM events)
     SELECT window_start, event_type, count(*) AS n, true AS within FROM placed GROUP BY 1, 2
     HAVING window_start + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"""
+SQL["upsert_bucketed"] = SQL["upsert_latest"]
+SQL["stream_error_replay"] = f"""WITH {FEED}
+    SELECT 'event' AS told, CAST(NULL AS BIGINT) AS "offset", "UserId", "ProductId", "Score", "Time", count(*) AS n FROM feed GROUP BY ALL
+    UNION ALL
+    SELECT ['not an object', 'empty', 'not an object', 'no user'][1 + "Id" % 50], "Id", NULL, NULL, NULL, NULL, count(*)
+    FROM reviews WHERE "Id" % 50 <= 3 GROUP BY ALL
+    UNION ALL SELECT 'observed', NULL, NULL, NULL, NULL, NULL, count(*) FROM reviews
+    UNION ALL SELECT 'observed bad', NULL, NULL, NULL, NULL, NULL, count_if("Id" % 50 <= 3) FROM reviews"""

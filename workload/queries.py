@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +10,11 @@ from tasteloom.functions.recjson import encode_recommendations, served_items
 from tasteloom.operators import activity, clean, evaluate, labels, metrics, serve, split, topn
 from tasteloom.plans import training
 from tasteloom.plans.bundle import Bundle
-from tasteloom.sources import recstore, registry, replay
+from tasteloom.sources import bucketstore, recstore, registry, replay
 from tasteloom.sources.reviews import read_csv, write_csv
 from tasteloom.sources.schemas import RECOMMENDATIONS, REVIEWS, as_ratings, typed
 from tasteloom.sources.scratch import cut, scratch_dir
+from tasteloom.streaming import ingest
 from tasteloom.streaming.models import ModelCache
 from tasteloom.streaming.recommender import start_recommender
 from workload import tables as t
@@ -330,6 +332,22 @@ def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
     return t.flat(recstore.latest(recstore.history(spark, path)))
 
 
+def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same batches into buckets; old versions are removed after the third, the second comes again as the last."""
+    events = t.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("UserId"), "event_type", "value",
+        F.pmod("event_id", F.col("user_id") % 4 + 1).alias("batch"),
+    )
+    lists = cut(events.groupBy("batch", "UserId").agg(F.array(F.struct(
+        F.max("event_type").alias("ProductId"), F.max("value").alias("score"))).alias("recommendations")), "lists")
+    path = scratch_dir(spark, "buckets")
+    for batch in (0, 1, 2, 3, 3):
+        bucketstore.upsert(lists.where(F.col("batch") == batch), path, 16)
+        if batch == 2:
+            bucketstore.vacuum(spark, path)
+    return t.flat(bucketstore.current(spark, path))
+
+
 def upsert_compacted(spark: SparkSession, sf: str) -> DataFrame:
     """The same batches, folded into a base after the second and again after the third."""
     events = t.table(spark, sf, "events").select(
@@ -489,6 +507,42 @@ def stream_parse(spark: SparkSession, sf: str) -> DataFrame:
     return _all_available(events, scratch_dir(spark, "events"))
 
 
+def stream_error_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbered messages, good and bad, through three failures between writing a batch's tables and committing it.
+
+    Each time the query is started again from its checkpoint. A row per message with the table it ended up in.
+    """
+    numbered = t.dirty_messages(spark, sf, F.col("Id").alias("offset"))
+    feed, path, offsets = (scratch_dir(spark, p) for p in ("feed", "ingest", "offsets"))
+    numbered.repartition(6, "offset").write.parquet(feed)
+    stream = spark.readStream.schema("offset long, value string").option("maxFilesPerTrigger", 2).parquet(feed)
+    due = [(ingest.GOOD, 0), (ingest.BAD, 1), (ingest.COUNTS, 1)]
+
+    def fail(table: str, batch: int) -> None:
+        if due and due[0] == (table, batch):
+            due.pop(0)
+            raise RuntimeError("between writing and committing")
+
+    while True:
+        query = ingest.start_ingest(stream, path, offsets, {"availableNow": True}, fail)
+        try:
+            query.awaitTermination()
+            break
+        except StreamingQueryException as error:
+            if "between writing and committing" not in str(error):
+                raise
+    if due:
+        raise RuntimeError("a failure was not met")
+    n = F.count(F.lit(1)).alias("n")
+    good = ingest.events(spark, path).groupBy("UserId", "ProductId", "Score", "Time").agg(n).withColumn("told", F.lit("event"))
+    bad = ingest.rejected(spark, path).groupBy("offset", F.col("reason").alias("told")).agg(n)
+    observed = ingest.counts(spark, path).agg(F.sum("n").alias("all"), F.sum("bad").alias("bad"))
+    counted = observed.select(F.inline(F.array(
+        F.struct(F.lit("observed").alias("told"), F.col("all").alias("n")), F.struct(F.lit("observed bad").alias("told"), F.col("bad").alias("n")))))
+    rows = good.unionByName(bad, allowMissingColumns=True).unionByName(counted, allowMissingColumns=True)
+    return rows.select("told", "offset", "UserId", "ProductId", "Score", "Time", "n")
+
+
 def stream_rate_by_handler(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly counts of the windows closed by a watermark ten minutes behind the newest event."""
     events = t.table(spark, sf, "events").select("ts", "event_type")
@@ -548,9 +602,9 @@ ALL = [
     label_index_users, label_index_items, index_unseen_keep, known_users, holdout_split, replay_split,
     preprocess_frame, train_frame, train_frame_40_20,
     rmse_eval, topn_factor_dot, als_predict, recommend_als, tune_als, als_save_load, register_model,
-    recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted,
+    recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted, upsert_bucketed,
     serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_lookup_text, serve_empty_table, recs_count,
     registry_latest, registry_versions, registry_metrics,
     rate_by_handler, rate_by_handler_5m, p99_histogram, p99_exact, gauge_sum_by_group, rate_counter_resets, gauge_sum_range, p99_sliding,
-    stream_parse, stream_rate_by_handler, stream_recommend, stream_model_swap,
+    stream_parse, stream_error_replay, stream_rate_by_handler, stream_recommend, stream_model_swap,
 ]

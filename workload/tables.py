@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tasteloom.sources.scratch import scratch_dir
@@ -37,8 +37,8 @@ def dirty_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("Score", F.when(F.col("Id") % 19 == 0, F.lit("NaN")).otherwise(F.col("Score")))
 
 
-def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(value): one message per review, some of them malformed in one of seven ways."""
+def dirty_messages(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """(value, more..): one message per review, some of them malformed in one of seven ways."""
     good = F.to_json(F.struct("UserId", "ProductId", "Score", "Time"))
     kind = F.col("Id") % 50
     value = (
@@ -51,7 +51,7 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 6, F.format_string('{"UserId":"d%d","userid":"x","Extra":1}', "Id"))
         .otherwise(good)
     )
-    return reviews(spark, sf_dir).select(value.alias("value"))
+    return reviews(spark, sf_dir).select(*more, value.alias("value"))
 
 
 def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
