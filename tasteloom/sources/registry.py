@@ -5,12 +5,15 @@ The row is written after the model's folder is complete, so a listed version can
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tasteloom.sources.scratch import file_system, remove
+
 MODEL_NAME = "recommender"
 # The stages a version can be in.
 STAGES = ["None", "Staging", "Production"]
@@ -36,7 +39,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append(runs: DataFrame, path: str) -> None:
-    runs.select(*RUNS.fieldNames()).write.mode("append").parquet(path)
+    """Add rows. They are written apart and their files moved in whole, so jobs that append at once keep theirs."""
+    spark, own = runs.sparkSession, f"{path}/_new-{uuid.uuid4().hex}"
+    runs.select(*RUNS.fieldNames()).write.parquet(own)
+    fs, at = file_system(spark, path)
+    for file in fs.listStatus(at(own)):
+        name = file.getPath().getName()
+        if name.endswith(".parquet") and not fs.rename(file.getPath(), at(f"{path}/{name}")):
+            raise OSError(f"{name} could not be moved into {path}")
+    remove(spark, own)
 
 
 def latest(runs: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame:

@@ -284,3 +284,6 @@ SQL["stream_error_replay"] = f"""WITH {FEED}
     FROM reviews WHERE "Id" % 50 <= 3 GROUP BY ALL
     UNION ALL SELECT 'observed', NULL, NULL, NULL, NULL, NULL, count(*) FROM reviews
     UNION ALL SELECT 'observed bad', NULL, NULL, NULL, NULL, NULL, count_if("Id" % 50 <= 3) FROM reviews"""
+SQL["register_concurrent"] = """SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(rank) AS BIGINT) AS ranks, min(version) AS first,
+    max(version) AS last, CAST(count(*) AS BIGINT) AS returned, CAST(count(DISTINCT version) AS BIGINT) AS paths
+    FROM (VALUES (2, CAST(1 AS BIGINT)), (3, CAST(2 AS BIGINT))) AS v(rank, version)"""

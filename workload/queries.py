@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -257,6 +259,23 @@ def register_model(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("name", "version", "stage", "rank", F.round("regParam", 6).alias("regParam"), fine.alias("measured"))
 
 
+def register_concurrent(spark: SparkSession, sf: str) -> DataFrame:
+    """Two jobs train and register at the same time; what the registry then holds."""
+    reviews = cut(t.reviews(spark, sf), "reviews")
+    models, runs = scratch_dir(spark, "models"), scratch_dir(spark, "runs")
+
+    def job(rank: int) -> int:
+        return training.train_and_register(reviews, models, runs, ranks=[rank], reg_params=[0.1], maxIter=2)
+
+    with ThreadPoolExecutor(2) as pool:
+        versions = set(pool.map(job, (2, 3)))
+    rows = registry.read(spark, runs)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rank").alias("ranks"), F.min("version").alias("first"), F.max("version").alias("last"),
+        F.count_if(F.col("version").isin(versions)).alias("returned"), F.count_distinct("path").alias("paths"),
+    )
+
+
 # Lists of recommendations
 
 def _best_rated(reviews: DataFrame) -> DataFrame:
@@ -601,7 +620,7 @@ ALL = [
     filter_5_5, filter_40_20, popular_products,
     label_index_users, label_index_items, index_unseen_keep, known_users, holdout_split, replay_split,
     preprocess_frame, train_frame, train_frame_40_20,
-    rmse_eval, topn_factor_dot, als_predict, recommend_als, tune_als, als_save_load, register_model,
+    rmse_eval, topn_factor_dot, als_predict, recommend_als, tune_als, als_save_load, register_model, register_concurrent,
     recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted, upsert_bucketed,
     serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_lookup_text, serve_empty_table, recs_count,
     registry_latest, registry_versions, registry_metrics,
