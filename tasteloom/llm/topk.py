@@ -20,7 +20,9 @@ from tasteloom.operators.ordering import with_position
 from tasteloom.sources.scratch import cut
 
 BLOCK = 1024
-PART = 256
+# Queries that share a part: every part is sent the blocks it reaches, so few parts mean few copies. A part of vectors
+# of 64 numbers takes 4 MB in a task.
+PART = 8192
 # Share of the squared length that the leading dimensions should hold.
 ENERGY = 0.9
 
@@ -114,8 +116,12 @@ def top_k(
     )
     # Longest first; the whole row decides ties, so that a place is the same at every reading.
     order = [F.col("square").desc(), F.col("id"), F.col("q")]
-    items = cut(with_position(rows, order, "at").withColumn("block", (F.col("at") / block).cast("int")), "items")
-    stats = items.agg(F.max(F.size("q")), F.count(F.lit(1))).first()
+    placed = cut(with_position(rows, order, "at").withColumn("block", (F.col("at") / block).cast("int")), "items")
+    largest = F.greatest(F.abs(F.array_max("q")), F.abs(F.array_min("q")))
+    stats = placed.agg(F.max(F.size("q")), F.count(F.lit(1)), F.max(largest)).first()
+    # What is shuffled and sent to Python is as narrow as the numbers allow.
+    kind = next((k for k, bits in (("smallint", 15), ("int", 31)) if (stats[2] or 0) < 1 << bits), "bigint")
+    items = placed.withColumn("q", F.col("q").cast(f"array<{kind}>"))
     width, count = max(stats[0] or 1, 1), stats[1]
     answer = "query_id long, rank int, vec_id long, score long"
     if not count:
@@ -139,7 +145,7 @@ def top_k(
             yield batch.assign(bound=bounds)
 
     asked = items.where("asks").select("id", "at", "q", "square")
-    asked = cut(asked.mapInPandas(first_bounds, "id long, at long, q array<bigint>, square double, bound double"), "asked")
+    asked = cut(asked.mapInPandas(first_bounds, f"id long, at long, q array<{kind}>, square double, bound double"), "asked")
     # Length an item must have to matter, then queries of like reach share a part.
     need = F.when(F.col("bound") <= 0, 0.0).otherwise(F.col("bound") / F.sqrt(F.greatest("square", F.lit(1.0))) * (1 - 1e-9))
     asked = with_position(asked.withColumn("need", need), [F.col("need"), F.col("at")], "_q")
