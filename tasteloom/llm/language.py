@@ -40,6 +40,9 @@ class Model:
     table: np.ndarray
     vocabulary: Vocabulary
 
+# Sums of probabilities below this are taken again in logarithms.
+TINY = 1e-250
+
 
 class Lattice:
     """All segmentations of many words into pieces; characters without a piece are written as bytes."""
@@ -62,6 +65,7 @@ class Block:
     """Words laid end to end: nodes are places between characters, edges are pieces."""
 
     def __init__(self, lattice: Lattice, words: list[str]):
+        self.lattice, self.words = lattice, words
         text = "".join([f"{SPACE}{w}\n" for w in words])
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<i4").copy()
         sizes = np.array([len(w) + 1 for w in words])
@@ -93,31 +97,53 @@ class Block:
 
     def sweep(self, logs: np.ndarray, backwards: bool = False) -> np.ndarray:
         """Logarithm, per node, of the sum over all ways from its word's start (or to its end)."""
-        base = self.last if backwards else self.first
-        source, target = (self.stop, self.start) if backwards else (self.start, self.stop)
-        step = np.abs(target - base[self.word])
-        order = np.lexsort((target, step))
-        source, target, step, logs = source[order], target[order], step[order], logs[order]
-        heads = np.flatnonzero(np.r_[True, target[1:] != target[:-1]])
-        cuts = np.searchsorted(step, np.arange(1, self.steps + 2))
-        group = np.searchsorted(heads, cuts)
+        base, source, target, order, steps = self._order(backwards)
+        logs = logs[order]
         total = np.full((self.nodes, logs.shape[1]), -np.inf)
         total[base] = 0.0
-        for t in range(self.steps):
-            a, b = cuts[t], cuts[t + 1]
-            if a == b:
-                continue
+        for a, b, ends in steps:
             ways = total[source[a:b]] + logs[a:b]
-            ends = heads[group[t] : group[t + 1]]
             # The largest term is taken out, so that words of any length stay within range.
             top = np.maximum.reduceat(ways, ends - a, axis=0)
             spread = np.repeat(top, np.diff(np.r_[ends, b]), axis=0)
             total[target[ends]] = top + np.log(np.add.reduceat(np.exp(ways - spread), ends - a, axis=0))
         return total
 
+    def _order(self, backwards: bool = False) -> tuple:
+        """(start of each word, edges' sources, targets, order of the edges, steps): a step is the edges from a to b, and
+        where among them a new target begins; every step's sources lie in steps before it."""
+        base = self.last if backwards else self.first
+        source, target = (self.stop, self.start) if backwards else (self.start, self.stop)
+        step = np.abs(target - base[self.word])
+        order = np.argsort(step * self.nodes + target)
+        source, target, step = source[order], target[order], step[order]
+        heads = np.flatnonzero(np.r_[True, target[1:] != target[:-1]])
+        cuts = np.searchsorted(step, np.arange(1, self.steps + 2))
+        group = np.searchsorted(heads, cuts)
+        steps = [
+            (cuts[t], cuts[t + 1], heads[group[t] : group[t + 1]]) for t in range(self.steps) if cuts[t] < cuts[t + 1]
+        ]
+        return base, source, target, order, steps
+
     def scores(self, table: np.ndarray) -> np.ndarray:
-        """Log probability of each word in each language."""
-        return self.sweep(self.weights(table))[self.last]
+        """Log probability of each word in each language.
+
+        Probabilities are added as they are; words whose sum comes near the smallest double are summed in logarithms.
+        """
+        base, source, target, order, steps = self._order()
+        chance = np.exp(self.weights(table))[order]
+        total = np.zeros((self.nodes, chance.shape[1]))
+        total[base] = 1.0
+        for a, b, ends in steps:
+            total[target[ends]] = np.add.reduceat(total[source[a:b]] * chance[a:b], ends - a, axis=0)
+        told = total[self.last]
+        tiny = np.flatnonzero((told < TINY).any(axis=1))
+        out = np.log(np.maximum(told, TINY))
+        if len(tiny):
+            for part in self.lattice.blocks([self.words[i] for i in tiny]):
+                done, tiny = tiny[: len(part.words)], tiny[len(part.words) :]
+                out[done] = part.sweep(part.weights(table))[part.last]
+        return out
 
     def uses(self, table: np.ndarray, language: np.ndarray, times: np.ndarray) -> np.ndarray:
         """Expected uses (language, piece) where word i occurs ``times[i]`` times in ``language[i]``."""
@@ -229,17 +255,21 @@ def predict(text: Column, model: Model | None) -> Column:
     def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(model.vocabulary)
         place: dict[str, int] = {}
-        scores = np.empty((0, len(model.languages)))
+        scores = np.empty((1024, len(model.languages)))
         for batch in texts:
             out = []
             for portion in _portions(batch):
                 if len(place) > REMEMBERED:
-                    place, scores = {}, scores[:0]
+                    place = {}
                 split = [words(t) for t in portion]
                 new = list({w: None for ws in split for w in ws if w not in place})
                 place.update(zip(new, range(len(place), len(place) + len(new))))
-                if new:
-                    scores = np.concatenate([scores, *(b.scores(model.table) for b in lattice.blocks(new))])
+                if len(place) > len(scores):
+                    scores = np.resize(scores, (2 * len(place), len(model.languages)))
+                done = len(place) - len(new)
+                for block in lattice.blocks(new):
+                    scores[done : done + len(block.words)] = block.scores(model.table)
+                    done += len(block.words)
                 for ws in split:
                     if not any(c.isalpha() for w in ws for c in w):
                         out.append((UNKNOWN, 0.0))

@@ -86,7 +86,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
         behind = np.zeros(len(codes), dtype=np.int64)
         behind[:-compared] = ranks[compared:] + 1
         keys = ranks * (len(codes) + 1) + behind
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         sorted_keys = keys[order]
         ranks[order] = np.cumsum(np.r_[0, sorted_keys[1:] != sorted_keys[:-1]])
         if ranks[order[-1]] == len(codes) - 1:

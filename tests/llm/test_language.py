@@ -76,3 +76,13 @@ def test_nothing_to_learn(spark):
     empty = spark.createDataFrame([(1, "x", None, "x")], SCHEMA)
     assert g.learn(empty) is None
     assert empty.select(g.predict(empty["text"], None).alias("p")).first()["p"]["lang"] == "und"
+
+
+def test_sums_of_tiny_probabilities_equal_those_in_logarithms():
+    vocabulary = Vocabulary.load()
+    rng = np.random.default_rng(2)
+    table = np.log(rng.dirichlet(np.ones(len(vocabulary.pieces)), 3)).T.copy()
+    words = ["a", "hello", "x" * 900, "\U0001F600" * 40, "wort", "\u4e00\u9fa5" * 60, "été" * 5] + [f"w{i}" for i in range(50)]
+    (block,) = g.Lattice(vocabulary).blocks(words)
+    want = block.sweep(block.weights(table))[block.last]
+    assert want.min() < np.log(g.TINY) and np.allclose(block.scores(table), want, rtol=1e-10)
