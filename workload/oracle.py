@@ -287,3 +287,7 @@ SQL["stream_error_replay"] = f"""WITH {FEED}
 SQL["register_concurrent"] = """SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(rank) AS BIGINT) AS ranks, min(version) AS first,
     max(version) AS last, CAST(count(*) AS BIGINT) AS returned, CAST(count(DISTINCT version) AS BIGINT) AS paths
     FROM (VALUES (2, CAST(1 AS BIGINT)), (3, CAST(2 AS BIGINT))) AS v(rank, version)"""
+SQL["label_index_growth"] = f"""WITH {REVIEWS},
+    names AS (SELECT "UserId" || '/' || "ProductId" AS pair, "Id" % 2 AS half FROM reviews),
+    counted AS (SELECT pair, min(half) AS half, count(*) AS n, count_if(half = 0) AS n0 FROM names GROUP BY 1)
+    SELECT pair, CAST(row_number() OVER (ORDER BY half, CASE half WHEN 0 THEN n0 ELSE n END DESC, pair) - 1 AS DOUBLE) AS idx, n FROM counted"""

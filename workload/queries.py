@@ -12,7 +12,7 @@ from tasteloom.functions.recjson import encode_recommendations, served_items
 from tasteloom.operators import activity, clean, evaluate, labels, metrics, serve, split, topn
 from tasteloom.plans import training
 from tasteloom.plans.bundle import Bundle
-from tasteloom.sources import bucketstore, recstore, registry, replay
+from tasteloom.sources import bucketstore, labelstore, recstore, registry, replay
 from tasteloom.sources.reviews import read_csv, write_csv
 from tasteloom.sources.schemas import RECOMMENDATIONS, REVIEWS, as_ratings, typed
 from tasteloom.sources.scratch import cut, scratch_dir
@@ -106,6 +106,16 @@ def label_index_users(spark: SparkSession, sf: str) -> DataFrame:
     return labels.fit_labels(t.reviews(spark, sf), "UserId")
 
 
+def label_index_growth(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of user and product get ids in two halves of the reviews; the rows of all reviews per id."""
+    path = scratch_dir(spark, "names")
+    reviews = t.reviews(spark, sf).select("Id", F.concat_ws("/", "UserId", "ProductId").alias("pair"))
+    labelstore.grow(reviews.where(F.col("Id") % 2 == 0), "pair", path)
+    version = labelstore.grow(reviews.where(F.col("Id") % 2 == 1), "pair", path)
+    indexed = labelstore.with_index(reviews, "pair", path, "idx", "error", version)
+    return indexed.groupBy("pair", "idx").agg(F.count(F.lit(1)).alias("n"))
+
+
 def label_index_items(spark: SparkSession, sf: str) -> DataFrame:
     return labels.fit_labels(t.reviews(spark, sf), "ProductId")
 
@@ -618,7 +628,7 @@ ALL = [
     ratings_from_orders, csv_roundtrip, csv_roundtrip_text, replay_messages, parse_messages,
     clean_nulls, dedup_latest, dedup_pairs, user_activity, item_activity, distinct_users, active_users,
     filter_5_5, filter_40_20, popular_products,
-    label_index_users, label_index_items, index_unseen_keep, known_users, holdout_split, replay_split,
+    label_index_users, label_index_items, label_index_growth, index_unseen_keep, known_users, holdout_split, replay_split,
     preprocess_frame, train_frame, train_frame_40_20,
     rmse_eval, topn_factor_dot, als_predict, recommend_als, tune_als, als_save_load, register_model, register_concurrent,
     recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted, upsert_bucketed,
