@@ -291,3 +291,7 @@ SQL["label_index_growth"] = f"""WITH {REVIEWS},
     names AS (SELECT "UserId" || '/' || "ProductId" AS pair, "Id" % 2 AS half FROM reviews),
     counted AS (SELECT pair, min(half) AS half, count(*) AS n, count_if(half = 0) AS n0 FROM names GROUP BY 1)
     SELECT pair, CAST(row_number() OVER (ORDER BY half, CASE half WHEN 0 THEN n0 ELSE n END DESC, pair) - 1 AS DOUBLE) AS idx, n FROM counted"""
+SQL["als_hot_user"] = f"""WITH {REVIEWS},
+    pairs AS (SELECT DISTINCT CAST("UserId" AS BIGINT) AS u, CAST("ProductId" AS BIGINT) AS i FROM reviews)
+    SELECT (CASE WHEN (u * 31 + i) % 3 = 0 THEN 1000000000 ELSE u END) + 1099511627776 AS id, count(*) AS n, true AS as_mllib,
+        true AS fit_as_good FROM pairs GROUP BY 1"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.functions.recjson import encode_recommendations, served_items
 from tasteloom.operators import activity, clean, evaluate, labels, metrics, serve, split, topn
-from tasteloom.plans import training
+from tasteloom.plans import factors, training
 from tasteloom.plans.bundle import Bundle
 from tasteloom.sources import bucketstore, labelstore, recstore, registry, replay
 from tasteloom.sources.reviews import read_csv, write_csv
@@ -190,6 +190,27 @@ def als_predict(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def als_hot_user(spark: SparkSession, sf: str) -> DataFrame:
+    """Planted scores of which a third are of one user, with user numbers above 32 bits: per user its number of ratings, and whether
+    its factors, from summed equations, agree with those of MLlib for the same items; whether a whole fit is as good."""
+    planted, beyond = t.planted_ratings(spark, sf), 1 << 40
+    hot = (F.col("user_index") * 31 + F.col("item_index")) % 3 == 0
+    ratings = cut(planted.withColumn("user_index", F.when(hot, t.HOT_USER).otherwise(F.col("user_index"))), "planted")
+    # Long enough that both, from different first factors, come to the end of their way.
+    model = training.fit(ratings, rank=3, regParam=0.1, maxIter=15)
+    wide = ratings.withColumn("user_index", F.col("user_index") + F.lit(beyond))
+    ours = factors.half_step(wide, model.itemFactors, 3, 0.1)
+    theirs = model.userFactors.select((F.col("id") + F.lit(beyond)).alias("id"), F.col("features").alias("theirs"))
+    apart = F.array_max(F.zip_with("features", "theirs", lambda a, b: F.abs(a - b)))
+    agree = ours.join(theirs, "id", "full").select("id", F.coalesce(apart <= 1e-4, F.lit(False)).alias("as_mllib"))
+    fitted = factors.fit(wide, 3, 0.1, 15)
+    error, known = evaluate.rmse_and_coverage(factors.predict(wide, fitted)).first()[:2]
+    bound = training.evaluate(model, ratings).first()
+    as_good = known == bound["n_scored"] and error <= 1.02 * bound["rmse"]
+    counts = activity.activity(wide, "user_index").withColumnRenamed("user_index", "id")
+    return counts.join(agree, "id", "full").select("id", "n", "as_mllib", F.lit(as_good).alias("fit_as_good"))
+
+
 def _trained(spark: SparkSession, sf: str) -> Bundle:
     frame = training.train_frame(t.reviews(spark, sf))
     model = training.fit(cut(frame.ratings, "indexed"), rank=10, regParam=0.1)
@@ -630,7 +651,7 @@ ALL = [
     filter_5_5, filter_40_20, popular_products,
     label_index_users, label_index_items, label_index_growth, index_unseen_keep, known_users, holdout_split, replay_split,
     preprocess_frame, train_frame, train_frame_40_20,
-    rmse_eval, topn_factor_dot, als_predict, recommend_als, tune_als, als_save_load, register_model, register_concurrent,
+    rmse_eval, topn_factor_dot, als_predict, als_hot_user, recommend_als, tune_als, als_save_load, register_model, register_concurrent,
     recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted, upsert_bucketed,
     serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_lookup_text, serve_empty_table, recs_count,
     registry_latest, registry_versions, registry_metrics,

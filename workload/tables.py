@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.sources.scratch import scratch_dir
 
+HOT_USER = 1_000_000_000  # no customer has this number
 STAGES = ["None", "Staging", "Production", "Archived"]
 
 
