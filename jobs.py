@@ -45,7 +45,7 @@ def recommend(spark: SparkSession, a: argparse.Namespace) -> None:
     feed = kafka.read_topic(spark, a.servers, a.topic, **limits) if a.servers else read_feed(spark, a.feed)
     models = ModelCache(spark, a.runs, a.name, check_every=a.check_every)
     trigger = {"availableNow": True} if a.once else {"processingTime": f"{a.trigger} seconds"}
-    start_recommender(feed, models, a.store, a.checkpoint, a.top_n, a.run_seq, trigger).awaitTermination()
+    start_recommender(feed, models, a.store, a.checkpoint, a.top_n, a.run_seq, trigger, a.once_per).awaitTermination()
 
 
 def compact(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -91,6 +91,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     sub.add_argument("--name", default=registry.MODEL_NAME)
     sub.add_argument("--top-n", type=int, default=TOP_N)
     sub.add_argument("--run-seq", type=int, default=0)
+    sub.add_argument("--once-per", type=int, help="seconds within which a user seen again is not scored again")
     sub.add_argument("--check-every", type=float, default=CHECK_EVERY)
     sub.add_argument("--once", action="store_true")
     sub.add_argument("--trigger", type=int, default=TRIGGER_SECONDS, help="seconds between micro-batches")

@@ -12,6 +12,7 @@ from tasteloom.operators.activity import distinct_users
 from tasteloom.sources import recstore
 from tasteloom.sources.replay import parse_messages
 from tasteloom.streaming.models import ModelCache
+from tasteloom.streaming.presence import LATENESS, due_users
 
 # Seconds between micro-batches, unless the job says otherwise, and length of a stored list.
 TRIGGER_SECONDS = 120
@@ -22,14 +23,19 @@ TOP_N = 5
 def start_recommender(
     feed: DataFrame, models: ModelCache, store: str, checkpoint: str,
     top_n: int = TOP_N, run_seq: int = 0, trigger: dict | None = None,
+    once_per: int | None = None, lateness: int = LATENESS,
 ) -> StreamingQuery:
     """Score the users of each micro-batch of ``feed`` (a stream with a ``value`` column).
 
     An error in a batch ends the query. Its offsets stay uncommitted, so the batch is run
-    again after a restart and replaces whatever it had stored.
+    again after a restart and replaces whatever it had stored. With ``once_per`` a user seen again
+    within that many seconds of event time is not scored again (see ``due_users``).
     """
     recstore.create_if_missing(feed.sparkSession, store)
-    writer = parse_messages(feed).writeStream.foreachBatch(score_batch(models, store, top_n, run_seq))
+    events = parse_messages(feed)
+    if once_per:
+        events = due_users(events, once_per, lateness)
+    writer = events.writeStream.foreachBatch(score_batch(models, store, top_n, run_seq))
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or TRIGGER)).start()
 
 

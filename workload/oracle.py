@@ -295,3 +295,10 @@ SQL["als_hot_user"] = f"""WITH {REVIEWS},
     pairs AS (SELECT DISTINCT CAST("UserId" AS BIGINT) AS u, CAST("ProductId" AS BIGINT) AS i FROM reviews)
     SELECT (CASE WHEN (u * 31 + i) % 3 = 0 THEN 1000000000 ELSE u END) + 1099511627776 AS id, count(*) AS n, true AS as_mllib,
         true AS fit_as_good FROM pairs GROUP BY 1"""
+SQL["stream_users_once"] = """WITH RECURSIVE ticks AS (
+        SELECT DISTINCT user_id * 5 AS u, epoch_us(ts) // 1000000 // 1440 * 1440 AS tick FROM events),
+    due AS (
+        SELECT u, min(tick) AS tick FROM ticks GROUP BY 1
+        UNION ALL
+        SELECT d.u, min(t.tick) FROM due AS d JOIN ticks AS t ON t.u = d.u AND t.tick >= d.tick + 86400 GROUP BY 1)
+    SELECT CAST(u AS VARCHAR) AS "UserId", tick FROM due"""

@@ -18,6 +18,7 @@ from tasteloom.sources.schemas import RECOMMENDATIONS, REVIEWS, as_ratings, type
 from tasteloom.sources.scratch import cut, scratch_dir
 from tasteloom.streaming import ingest
 from tasteloom.streaming.models import ModelCache
+from tasteloom.streaming.presence import due_users
 from tasteloom.streaming.recommender import start_recommender
 from workload import tables as t
 
@@ -593,6 +594,20 @@ def stream_error_replay(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("told", "offset", "UserId", "ProductId", "Score", "Time", "n")
 
 
+def stream_users_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The users of the events, each at most once a day: the events arrive in three parts, and the query is started again for each."""
+    feed, path, offsets = (scratch_dir(spark, p) for p in ("feed", "due", "offsets"))
+    events = t.event_messages(spark, sf).select("UserId", "Time")
+    first, last = events.agg(F.min("Time"), F.max("Time")).first()
+    for part in range(3):
+        share = F.floor(3 * (F.col("Time") - first) / (last - first + 1))
+        events.where(share == part).write.mode("append").parquet(feed)
+        due = due_users(spark.readStream.schema(events.schema).parquet(feed), 86_400)
+        writer = due.writeStream.format("parquet").option("path", path).option("checkpointLocation", offsets)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("UserId string, tick long").parquet(path)
+
+
 def stream_rate_by_handler(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly counts of the windows closed by a watermark ten minutes behind the newest event."""
     events = t.table(spark, sf, "events").select("ts", "event_type")
@@ -656,5 +671,5 @@ ALL = [
     serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_lookup_text, serve_empty_table, recs_count,
     registry_latest, registry_versions, registry_metrics,
     rate_by_handler, rate_by_handler_5m, p99_histogram, p99_exact, gauge_sum_by_group, rate_counter_resets, gauge_sum_range, p99_sliding,
-    stream_parse, stream_error_replay, stream_rate_by_handler, stream_recommend, stream_model_swap,
+    stream_parse, stream_error_replay, stream_users_once, stream_rate_by_handler, stream_recommend, stream_model_swap,
 ]
