@@ -5,7 +5,8 @@ buckets in a folder of its own, then its manifest, and then takes the version af
 marker that names it. Of two writers that started from one version one gets the marker, the other has changed nothing.
 Readers of older versions keep their files. The driver sees a row per bucket, and nothing else.
 
-    <path>/data/w=<write>/bucket=<b>/..   rows of a bucket, sorted by user
+    <path>/data/w=<write>/bucket=<b>/..   rows of a bucket, sorted by user, in files of at most ROWS_PER_FILE
+    <path>/files/w=<write>/..             (bucket, file, low, high, n): the users each file can hold
     <path>/manifest/w=<write>/..          (bucket, w, buckets)
     <path>/_versions/<n>                  the write that is version n
 """
@@ -13,8 +14,9 @@ Readers of older versions keep their files. The driver sees a row per bucket, an
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tasteloom.sources import commits
@@ -22,6 +24,9 @@ from tasteloom.sources.schemas import RECOMMENDATIONS
 from tasteloom.sources.scratch import exists, file_system, remove
 
 BUCKETS = 64
+# Users in one file, and so about what is read to find one of them.
+ROWS_PER_FILE = 100_000
+FILES = "bucket int, file string, low string, high string, n long"
 ROW = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RECOMMENDATIONS.fields)
 MANIFEST = "bucket int, w string, buckets int"
 
@@ -59,7 +64,7 @@ def _rows(spark: SparkSession, path: str, held: dict[int, str]) -> DataFrame:
     return spark.read.schema(ROW).parquet(*[f"{path}/data/w={w}/bucket={b}" for b, w in sorted(held.items())])
 
 
-def upsert(recs: DataFrame, path: str, buckets: int = BUCKETS) -> int:
+def upsert(recs: DataFrame, path: str, buckets: int = BUCKETS, rows_per_file: int = ROWS_PER_FILE) -> int:
     """Replace or add the rows (UserId, recommendations); returns the new version, or the old one if there are no rows.
 
     Of rows that repeat a user the one with the greater list stays, so the result does not depend on their order. Rows
@@ -83,17 +88,68 @@ def upsert(recs: DataFrame, path: str, buckets: int = BUCKETS) -> int:
     old = _rows(spark, path, {b: w for b, w in held.items() if b in touched})
     kept = old.join(new.select("UserId"), "UserId", "left_anti").withColumn("bucket", _bucket(F.col("UserId"), count))
     placed = kept.unionByName(new).repartition("bucket").sortWithinPartitions("bucket", "UserId")
-    placed.write.mode("append").partitionBy("bucket").parquet(folder)
+    # A filter per row group tells most users it does not hold, also those between its first and last.
+    filters = {"parquet.bloom.filter.enabled#UserId": "true", "parquet.bloom.filter.expected.ndv#UserId": str(rows_per_file)}
+    placed.write.mode("append").options(**filters, maxRecordsPerFile=rows_per_file).partitionBy("bucket").parquet(folder)
     remove(spark, f"{folder}/_new")
+    _list_files(spark, path, write, sorted(touched))
     rows = [(b, w, count) for b, w in (held | {b: write for b in touched}).items()]
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(f"{path}/manifest/w={write}")
     if not commits.claim(spark, path, base + 1, write):
-        remove(spark, folder)
-        remove(spark, f"{path}/manifest/w={write}")
+        for part in ("data", "files", "manifest"):
+            remove(spark, f"{path}/{part}/w={write}")
         raise Conflict(f"version {base + 1} was taken meanwhile")
     return base + 1
 
 
+def _list_files(spark: SparkSession, path: str, write: str, buckets: list[int]) -> None:
+    """Write which users the files of a write can hold; a column of each file is read, and a row per file kept."""
+    folder = f"{path}/data/w={write}"
+    rows = spark.read.schema("UserId string, bucket int").option("basePath", folder).parquet(*[f"{folder}/bucket={b}" for b in buckets])
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    found = rows.groupBy("bucket", name.alias("file")).agg(F.min("UserId").alias("low"), F.max("UserId").alias("high"), F.count(F.lit(1)).alias("n"))
+    found.coalesce(1).write.parquet(f"{path}/files/w={write}")
+
+
+def files(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """(bucket, file, low, high, n) of the newest, or a given, version; ``file`` is a path and ranges of a bucket do not overlap."""
+    held = manifest(spark, path, version)[0]
+    if not held:
+        return spark.createDataFrame([], FILES)
+    writes = {w: [b for b in held if held[b] == w] for w in set(held.values())}
+    parts = [
+        spark.read.schema(FILES).parquet(f"{path}/files/w={w}").where(F.col("bucket").isin(own))
+        .withColumn("file", F.concat(F.lit(f"{path}/data/w={w}/bucket="), F.col("bucket").cast("string"), F.lit("/"), F.col("file")))
+        for w, own in sorted(writes.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def lookup_many(users: DataFrame, path: str) -> DataFrame:
+    """The rows (UserId, recommendations) of the users in ``users`` that the store holds, each once.
+
+    Only files that can hold one of them are opened: a user meets the last file of its bucket that begins at or before it, by
+    one ordered pass over the users and the list of files, and no join over ranges. The driver sees the names of
+    files to open, at most as many as the store has. What they hold meets the users in a plain join, whose smaller
+    side the planner broadcasts by its size. Users that are null or repeated give nothing more.
+    """
+    spark = users.sparkSession
+    held, count = manifest(spark, path)
+    if not held:
+        return spark.createDataFrame([], ROW)
+    asked = users.where(F.col("UserId").isNotNull()).select("UserId").distinct()
+    begins = files(spark, path).select("bucket", F.col("low").alias("UserId"), F.struct("file", "high").alias("_file"))
+    keys = asked.select(_bucket(F.col("UserId"), count).alias("bucket"), "UserId", F.lit(None).cast("struct<file:string,high:string>").alias("_file"))
+    # A file comes before the user it begins with.
+    before = Window.partitionBy("bucket").orderBy("UserId", F.col("_file").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = begins.unionByName(keys).withColumn("_in", F.last("_file", ignorenulls=True).over(before))
+    hit = found.where(F.col("_file").isNull() & (F.col("UserId") <= F.col("_in")["high"]))
+    names = [r[0] for r in hit.select(F.col("_in")["file"]).distinct().collect()]
+    if not names:
+        return spark.createDataFrame([], ROW)
+    return spark.read.schema(ROW).parquet(*sorted(names)).join(asked, "UserId", "left_semi")
+
+
 def current(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One row per user of the newest, or a given, version; empty without one."""
     return _rows(spark, path, manifest(spark, path, version)[0])
@@ -138,6 +194,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 1) -> None:
         stale = [b for b in buckets if (int(b), write) not in used]
         if len(stale) == len(buckets):
             remove(spark, f"{path}/data/w={write}")
+            remove(spark, f"{path}/files/w={write}")
         else:
             for b in stale:
                 remove(spark, f"{path}/data/w={write}/bucket={b}")

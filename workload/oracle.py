@@ -302,3 +302,6 @@ SQL["stream_users_once"] = """WITH RECURSIVE ticks AS (
         UNION ALL
         SELECT d.u, min(t.tick) FROM due AS d JOIN ticks AS t ON t.u = d.u AND t.tick >= d.tick + 86400 GROUP BY 1)
     SELECT CAST(u AS VARCHAR) AS "UserId", tick FROM due"""
+SQL["lookup_many"] = """SELECT CAST(l_orderkey AS VARCHAR) AS "UserId", 0 AS pos, CAST(max(l_partkey) AS VARCHAR) AS "ProductId",
+        CAST(sum(l_linenumber) AS DOUBLE) AS score
+    FROM lineitem WHERE l_orderkey IN (SELECT event_id FROM events) GROUP BY l_orderkey"""

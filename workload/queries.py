@@ -399,6 +399,17 @@ def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     return t.flat(bucketstore.current(spark, path))
 
 
+def lookup_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A list per order, in two upserts into buckets of small files; asked for by the numbers of all events, of which some are no order."""
+    lists = t.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("UserId"), F.col("l_orderkey").alias("key")).agg(
+        F.array(F.struct(F.max("l_partkey").cast("string").alias("ProductId"), F.sum("l_linenumber").cast("double").alias("score"))).alias("recommendations"))
+    path = scratch_dir(spark, "buckets")
+    for rest in (0, 1):
+        bucketstore.upsert(lists.where(F.col("key") % 2 == rest), path, 16, 1000)
+    asked = t.table(spark, sf, "events").select(F.col("event_id").cast("string").alias("UserId"))
+    return t.flat(bucketstore.lookup_many(asked, path))
+
+
 def upsert_compacted(spark: SparkSession, sf: str) -> DataFrame:
     """The same batches, folded into a base after the second and again after the third."""
     events = t.table(spark, sf, "events").select(
@@ -667,7 +678,7 @@ ALL = [
     label_index_users, label_index_items, label_index_growth, index_unseen_keep, known_users, holdout_split, replay_split,
     preprocess_frame, train_frame, train_frame_40_20,
     rmse_eval, topn_factor_dot, als_predict, als_hot_user, recommend_als, tune_als, als_save_load, register_model, register_concurrent,
-    recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted, upsert_bucketed,
+    recs_label_lookup, recs_json, recs_format, upsert_latest, upsert_compacted, upsert_bucketed, lookup_many,
     serve_point_lookup, serve_snapshot_lookup, serve_lookup_fallback, serve_lookup_text, serve_empty_table, recs_count,
     registry_latest, registry_versions, registry_metrics,
     rate_by_handler, rate_by_handler_5m, p99_histogram, p99_exact, gauge_sum_by_group, rate_counter_resets, gauge_sum_range, p99_sliding,
