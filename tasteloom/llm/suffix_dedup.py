@@ -35,13 +35,15 @@ APPLY_BYTES = 16 << 20
 # Pieces per collection (an anchor is never divided), rows of the external files read at once.
 COLLECTION = 1 << 12
 ROWS = 1 << 22
-# Bytes hashed at once: hashes take eight bytes each.
-STEP = 1 << 20
-LEVEL = 6
+# Bytes hashed at once: hashes take eight bytes each, and a step's arrays fit a core's cache.
+STEP = 1 << 15
+LEVEL = 5
 END = 255  # no byte of UTF-8
 BASE = 0x9E3779B97F4A7C15
 
 U64 = np.uint64
+# Packed spans: steps between documents, their checksums, spans of each, then starts and lengths.
+SPAN_KINDS = np.int64, np.uint32, np.uint32, np.uint32, np.uint32
 NO_SPANS = pd.DataFrame({"doc": [], "crc": [], "start": [], "stop": []}).astype("int64")
 
 
@@ -99,55 +101,56 @@ def content_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> n
     with np.errstate(over="ignore"):
         for which, a, b in _stretches(starts, stops):
             if len(powers) < b - a:
-                powers = np.multiply.accumulate(np.r_[U64(1), np.full(b - a - 1, BASE, dtype=U64)])
-                back = np.multiply.accumulate(np.r_[U64(1), np.full(b - a - 1, inverse, dtype=U64)])
+                more = 2 * max(STEP, b - a)
+                powers = np.multiply.accumulate(np.r_[U64(1), np.full(more, BASE, dtype=U64)])
+                back = np.multiply.accumulate(np.r_[U64(1), np.full(more, inverse, dtype=U64)])
             sums = np.r_[U64(0), np.cumsum((data[a:b].astype(U64) + U64(1)) * powers[: b - a])]
             out[which] = _mix((sums[stops[which] - a] - sums[starts[which] - a]) * back[starts[which] - a])
     return out
 
 
-def least_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """The anchor of each piece (rising starts): the least hash within it."""
-    out = np.zeros(len(starts), dtype=U64)
-    for which, a, b in _stretches(starts, stops):
-        hashes = np.r_[anchor_hashes(data[a:b]), np.zeros(ANCHOR, dtype=U64)]
-        edges = np.empty(2 * (which.stop - which.start), dtype=np.int64)
-        edges[0::2], edges[1::2] = starts[which] - a, stops[which] - a - ANCHOR + 1
-        out[which] = np.minimum.reduceat(hashes, edges)[::2]
-    return out
-
-
-def may_match(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, anchors: np.ndarray, docs: np.ndarray, size: int) -> np.ndarray:
-    """Which pieces (rising starts) could share a window with a piece of another document.
+def anchors_and_matches(
+    data: np.ndarray, starts: np.ndarray, stops: np.ndarray, docs: np.ndarray, size: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per piece (rising starts) its anchor, the least hash within it, and whether it could share a window
+    with a piece of another document.
 
     A common window holds the anchor and, on one of its sides, at least half of the other
-    ``size - ANCHOR`` bytes. So one of these longer strings around an anchor must be common, too.
+    ``size - ANCHOR`` bytes. So one of these longer strings around an anchor must be common, too; it is
+    known by the hashes of the ANCHOR-byte strings that cover it.
     """
     side = -(-(size - ANCHOR) // 2)
+    cover = np.arange(0, side, ANCHOR)
+    around = {"left": np.r_[cover - side, 0], "right": np.r_[cover, side]}
+    anchors = np.zeros(len(starts), dtype=U64)
     keys, owners = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
     for which, a, b in _stretches(starts, stops):
-        hashes = anchor_hashes(data[a:b])
-        lengths = stops[which] - starts[which] - ANCHOR + 1
-        owner = np.repeat(np.arange(which.start, which.stop), lengths)
-        place = _ranges(starts[which], starts[which] + lengths)
-        hit = hashes[place - a] == anchors[owner]
+        hashes = np.r_[anchor_hashes(data[a:b]), np.zeros(ANCHOR, dtype=U64)]
+        first, end = starts[which] - a, stops[which] - a - ANCHOR + 1
+        edges = np.empty(2 * len(first), dtype=np.int64)
+        edges[0::2], edges[1::2] = first, end
+        anchors[which] = np.minimum.reduceat(hashes, edges)[::2]
+        owner = np.repeat(np.arange(len(first)), end - first)
+        place = _ranges(first, end)
+        hit = np.flatnonzero(hashes[place] == anchors[which][owner])
         owner, place = owner[hit], place[hit]
-        for low, high in ((place - side, place + ANCHOR), (place, place + ANCHOR + side)):
-            inside = (low >= starts[owner]) & (high <= stops[owner])
-            own, low, high = owner[inside], low[inside] - a, high[inside] - a
-            order = np.argsort(low, kind="stable")
-            keys.append(content_hashes(data[a:b], low[order], high[order]))
-            owners.append(own[order])
+        for name, offsets in around.items():
+            inside = (place + offsets.min() >= first[owner]) & (place + offsets.max() < end[owner])
+            at, key = place[inside], np.full(int(inside.sum()), len(name), dtype=U64)
+            with np.errstate(over="ignore"):
+                for offset in offsets.tolist():
+                    key = _mix(key * U64(BASE) + hashes[at + offset])
+            keys.append(key)
+            owners.append(owner[inside] + which.start)
     key, owner = np.concatenate(keys), np.concatenate(owners)
-    order = np.lexsort((docs[owner], key))
+    order = np.argsort(key)
     key, owner = key[order], owner[order]
-    out = np.zeros(len(starts), dtype=bool)
+    possible = np.zeros(len(starts), dtype=bool)
     if len(key):
         head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        end = np.r_[head[1:], len(key)]
-        shared = docs[owner[head]] != docs[owner[end - 1]]
-        out[owner[np.repeat(shared, end - head)]] = True
-    return out
+        shared = np.minimum.reduceat(docs[owner], head) != np.maximum.reduceat(docs[owner], head)
+        possible[owner[np.repeat(shared, np.diff(np.r_[head, len(key)]))]] = True
+    return anchors, possible
 
 
 def cut_pieces(data: np.ndarray, bounds: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -414,10 +417,10 @@ def piece_kinds(size: int) -> tuple[type, ...]:
     return np.int64, np.uint32, np.uint16, length_kind(size), np.uint32, np.uint8
 
 
-def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _gather(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """The bytes of stretches, one after the other."""
-    ends = np.cumsum(sizes)
-    return data[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    view = memoryview(data)
+    return np.frombuffer(b"".join([view[a:b] for a, b in zip(starts.tolist(), stops.tolist())]), dtype=np.uint8)
 
 
 def merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -487,7 +490,7 @@ def _cut_task(buckets: int, size: int):
                     lengths = stops[part] - starts[part]
                     blob = _pack(
                         np.diff(doc[used], prepend=0), crc[used], local.astype(np.uint16), lengths.astype(length_kind(size)),
-                        (starts[part] - bounds[text[part]]).astype(np.uint32), _gather(data, starts[part], lengths),
+                        (starts[part] - bounds[text[part]]).astype(np.uint32), _gather(data, starts[part], stops[part]),
                     )
                     rows.append((int(bucket[a]), blob, False))
             yield pa.RecordBatch.from_pylist(
@@ -525,10 +528,8 @@ def bucket_spans(blobs: list[bytes], size: int) -> pd.DataFrame:
     spans = [_frame(doc[by[later]], crc[by[later]], place[by[later]], (place + length)[by[later]])]
     rising = np.argsort(starts[sample])
     own = sample[rising]
-    anchor = np.empty(len(sample), dtype=U64)
-    anchor[rising] = least_hashes(data, starts[own], stops[own])
-    possible = np.zeros(len(sample), dtype=bool)
-    possible[rising] = may_match(data, starts[own], stops[own], anchor[rising], doc[own], size)
+    anchor, possible = np.empty(len(sample), dtype=U64), np.empty(len(sample), dtype=bool)
+    anchor[rising], possible[rising] = anchors_and_matches(data, starts[own], stops[own], doc[own], size)
     sort = np.flatnonzero(possible)
     if not len(sort):
         return pd.concat(spans, ignore_index=True)
@@ -582,12 +583,31 @@ def _bucket_task(size: int, portions: int):
         blobs = list(rows.loc[~rows["settled"], "blob"])
         if blobs:
             spans.append(bucket_spans(blobs, size))
-        found = pd.concat(spans, ignore_index=True)
-        return found.assign(portion=_portion(found["doc"].to_numpy(), found["crc"].to_numpy(), portions))
+        doc, crc, start, stop = pd.concat(spans, ignore_index=True).to_numpy(dtype=np.int64).T
+        portion = _portion(doc, crc, portions)
+        order = np.lexsort((start, crc, doc, portion))
+        cuts = np.flatnonzero(np.diff(portion[order], prepend=-1))
+        out = []
+        for part in np.split(order, cuts[1:]) if len(order) else []:
+            d, c = doc[part], crc[part]
+            head = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (c[1:] != c[:-1])])
+            counts = np.diff(np.r_[head, len(part)])
+            arrays = np.diff(d[head], prepend=0), c[head], counts, start[part], (stop - start)[part]
+            out.append((int(portion[part[0]]), _pack(*(a.astype(kind) for a, kind in zip(arrays, SPAN_KINDS)))))
+        return pd.DataFrame(out, columns=["portion", "blob"])
 
     return solve
 
 
+def _spans_of(blobs: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, crc, start, stop) of the spans that bucket tasks packed."""
+    found = [NO_SPANS]
+    for blob in blobs:
+        steps, crc, counts, start, length = _unpack(blob, *SPAN_KINDS)
+        found.append(_frame(np.repeat(np.cumsum(steps), counts), np.repeat(crc, counts), start, start.astype(np.int64) + length))
+    return tuple(pd.concat(found, ignore_index=True).to_numpy(dtype=np.int64).T)
+
+
 def _text_task(portions: int):
     """Texts in compressed portions, by the hash of their document."""
 
@@ -612,8 +632,7 @@ RESULT = "key long, n_bytes long, n_removed long, spans array<struct<start: long
 
 def _apply_task(keep: bool):
     def apply(spans: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
-        doc, start, stop = spans["doc"].to_numpy(), spans["start"].to_numpy(), spans["stop"].to_numpy()
-        crc = spans["crc"].to_numpy()
+        doc, crc, start, stop = _spans_of(spans["blob"])
         keys, number = np.unique(np.stack([doc, crc], axis=1), axis=0, return_inverse=True) if len(doc) else (np.empty((0, 2)), doc)
         number, start, stop = merged(number.reshape(-1).astype(np.int64), start, stop)
         place = {(int(d), int(c)): i for i, (d, c) in enumerate(keys.tolist())}
@@ -662,7 +681,7 @@ def repeated_spans(
     buckets, portions = total // BUCKET_BYTES + 1, total // APPLY_BYTES + 1
     pieces = own.where("key is not null").mapInArrow(_cut_task(buckets, size), "bucket int, blob binary, settled boolean")
     placed = pieces.groupBy("bucket").applyInPandas(
-        _bucket_task(size, portions), "doc long, crc long, start long, stop long, portion int"
+        _bucket_task(size, portions), "portion int, blob binary"
     )
     texts = own.mapInArrow(_text_task(portions), "portion int, blob binary")
     return placed.groupBy("portion").cogroup(texts.groupBy("portion")).applyInPandas(_apply_task(keep), RESULT)
