@@ -32,6 +32,8 @@ ANCHOR, INNER = 16, 4
 CUT_BYTES = 6 << 20
 BUCKET_BYTES = 6 << 20
 APPLY_BYTES = 16 << 20
+# Ranges of places of an anchor within its window.
+PLACES = 4
 # Pieces per collection (an anchor is never divided), rows of the external files read at once.
 COLLECTION = 1 << 12
 ROWS = 1 << 22
@@ -115,13 +117,13 @@ def anchors_and_matches(
     """Per piece (rising starts) its anchor, the least hash within it, and whether it could share a window
     with a piece of another document.
 
-    A common window holds the anchor and, on one of its sides, at least half of the other
-    ``size - ANCHOR`` bytes. So one of these longer strings around an anchor must be common, too; it is
-    known by the hashes of the ANCHOR-byte strings that cover it.
+    The anchor's place within a common window falls into one of PLACES ranges. What the windows of a
+    range have in common around the anchor must be common, too; it is known by the hashes of the
+    ANCHOR-byte strings that cover it.
     """
-    side = -(-(size - ANCHOR) // 2)
-    cover = np.arange(0, side, ANCHOR)
-    around = {"left": np.r_[cover - side, 0], "right": np.r_[cover, side]}
+    rest = size - ANCHOR
+    grid = [rest * i // PLACES for i in range(PLACES + 1)]
+    around = [np.append(np.arange(-left, rest - far, ANCHOR), rest - far) for left, far in zip(grid, grid[1:])]
     anchors = np.zeros(len(starts), dtype=U64)
     keys, owners = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
     for which, a, b in _stretches(starts, stops):
@@ -134,9 +136,9 @@ def anchors_and_matches(
         place = _ranges(first, end)
         hit = np.flatnonzero(hashes[place] == anchors[which][owner])
         owner, place = owner[hit], place[hit]
-        for name, offsets in around.items():
+        for number, offsets in enumerate(around):
             inside = (place + offsets.min() >= first[owner]) & (place + offsets.max() < end[owner])
-            at, key = place[inside], np.full(int(inside.sum()), len(name), dtype=U64)
+            at, key = place[inside], np.full(int(inside.sum()), number, dtype=U64)
             with np.errstate(over="ignore"):
                 for offset in offsets.tolist():
                     key = _mix(key * U64(BASE) + hashes[at + offset])
@@ -284,39 +286,42 @@ class ExternalColumns:
             i, j = np.searchsorted(at, [a, a + len(symbol)])
             symbol[at[i:j] - a] = symbols[i:j]
             order = np.argsort(symbol, kind="stable")
-            place = np.empty(len(order), dtype=np.int64)
-            place[order] = np.arange(len(order))
             counts = np.bincount(symbol, minlength=256)
             first = np.cumsum(counts) - counts
-            new = place[at[i:j] - a]
-            owner = np.full(len(order), -1, dtype=np.int64)
-            owner[new] = np.arange(i, j)
+            longer = np.zeros(len(order), dtype=bool)
+            longer[at[i:j] - a] = True
+            new = np.flatnonzero(longer[order])
+            who = np.searchsorted(at, order[new] + a)
             # New suffixes, and the ones after them, whose common prefix with the one above changes.
-            touched = owner >= 0
+            touched = np.zeros(len(order), dtype=bool)
+            touched[new] = True
             after = new + 1
-            after = after[after < (first + counts)[symbols[i:j]]]
-            touched[after] = True
-            late = np.flatnonzero(pending[:END] & (counts[:END] > 0))
-            touched[first[late]] = True
+            touched[after[after < (first + counts)[symbols[who]]]] = True
+            touched[first[np.flatnonzero(pending[:END] & (counts[:END] > 0))]] = True
             k = np.flatnonzero(touched)
             if len(k):
+                owner = np.full(len(k), -1, dtype=np.int64)
+                owner[np.searchsorted(k, new)] = who
                 c, stop = symbol[order[k]], order[k] + 1
                 lead = k == first[c]
                 start = np.where(lead, 0, order[np.maximum(k - 1, 0)] + 1)
                 cuts = np.empty(2 * len(k), dtype=np.int64)
                 cuts[0::2], cuts[1::2] = start, stop
-                least = np.minimum.reduceat(np.r_[prefix, np.uint8(255)], cuts)[::2].astype(np.int64)
+                least = np.minimum.reduceat(np.append(prefix, np.uint8(255)), cuts)[::2].astype(np.int64)
                 shared = 1 + np.where(lead, np.minimum(least, low[c]), least)
                 shared[lead & ~seen[c]] = 0
-                found.append((c, count[c] + k - first[c], np.minimum(shared, 254), owner[k]))
-            tail = np.r_[np.minimum.accumulate(prefix[::-1])[::-1], np.uint8(255)].astype(np.int64)
+                found.append((c, count[c] + k - first[c], np.minimum(shared, 254), owner))
+            count += counts
+            if a + ROWS >= self.rows:
+                break
+            # What the rows of the next block have to know of the ones above.
+            tail = np.r_[np.minimum.accumulate(prefix[::-1])[::-1], np.uint8(255)]
             have = np.flatnonzero(counts)
-            last = first[have] + counts[have] - 1
+            last = order[first[have] + counts[have] - 1]
             low = np.minimum(low, tail[0])
-            low[have] = tail[order[last] + 1]
-            pending[have] = owner[last] >= 0
+            low[have] = tail[last + 1]
+            pending[have] = longer[last]
             seen[have] = True
-            count += counts
         before = self.pieces + np.cumsum(count) - count
         c, rank, shared, owner = (np.concatenate(x) for x in zip(*found))
         row = before[c] + rank
