@@ -32,6 +32,9 @@ ANCHOR, INNER = 16, 4
 CUT_BYTES = 6 << 20
 BUCKET_BYTES = 6 << 20
 APPLY_BYTES = 16 << 20
+# Cells that count the places of ANCHOR-byte strings by hash (a power of two), and how many places a cell holds
+# at least before its strings are crowded, beside CROWD times the mean of all cells.
+CELLS, CROWD, CROWD_LEAST = 1 << 20, 6, 1 << 12
 # Ranges of places of an anchor within its window.
 PLACES = 4
 # Pieces per collection (an anchor is never divided), rows of the external files read at once.
@@ -55,11 +58,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(29))
 
 
-def anchor_hashes(data: np.ndarray) -> np.ndarray:
+def anchor_hashes(data: np.ndarray, crowded: np.ndarray | None = None) -> np.ndarray:
     """Hash of the ANCHOR bytes from each place, by joining halves; ANCHOR and INNER are powers of two.
 
     Strings whose least INNER-byte string stands at an end have lower hashes than the others: they lie
-    further apart, which makes pieces longer.
+    further apart, which makes pieces longer. Strings in ``crowded`` cells (a flag each) have the highest
+    hashes, so they anchor only windows that hold no other string.
     """
     h, factor, width = data.astype(U64) + U64(1), U64(BASE), 1
     places = max(0, len(data) - ANCHOR + 1)
@@ -69,14 +73,20 @@ def anchor_hashes(data: np.ndarray) -> np.ndarray:
             factor, width = factor * factor, width * 2
             if width == INNER:
                 inner = _mix(h)
-    h = _mix(h) >> U64(1)
+    h = _mix(h) >> U64(2)
     if places:
         least, far = _least(inner, ANCHOR - INNER + 1), ANCHOR - INNER
         ends = (least == inner[:places]) | (least == inner[far : far + places])
-        h |= (~ends).astype(U64) << U64(63)
+        h |= (~ends).astype(U64) << U64(62)
+        if crowded is not None:
+            h |= crowded[cells_of(h)].astype(U64) << U64(63)
     return h
 
 
+def cells_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & U64(CELLS - 1)).astype(np.int32)
+
+
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum over each ``width`` neighbours."""
     have = 1
@@ -112,7 +122,7 @@ def content_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> n
 
 
 def anchors_and_matches(
-    data: np.ndarray, starts: np.ndarray, stops: np.ndarray, docs: np.ndarray, size: int,
+    data: np.ndarray, starts: np.ndarray, stops: np.ndarray, docs: np.ndarray, size: int, crowded: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Per piece (rising starts) its anchor, the least hash within it, and whether it could share a window
     with a piece of another document.
@@ -127,7 +137,7 @@ def anchors_and_matches(
     anchors = np.zeros(len(starts), dtype=U64)
     keys, owners = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
     for which, a, b in _stretches(starts, stops):
-        hashes = np.r_[anchor_hashes(data[a:b]), np.zeros(ANCHOR, dtype=U64)]
+        hashes = np.r_[anchor_hashes(data[a:b], crowded), np.zeros(ANCHOR, dtype=U64)]
         first, end = starts[which] - a, stops[which] - a - ANCHOR + 1
         edges = np.empty(2 * len(first), dtype=np.int64)
         edges[0::2], edges[1::2] = first, end
@@ -155,7 +165,9 @@ def anchors_and_matches(
     return anchors, possible
 
 
-def cut_pieces(data: np.ndarray, bounds: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cut_pieces(
+    data: np.ndarray, bounds: np.ndarray, size: int = SIZE, crowded: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, stops, anchors) of the pieces of texts laid end to end; ``bounds``: text starts and the end.
 
     Every window of ``size`` bytes within a text lies in exactly one piece.
@@ -165,18 +177,18 @@ def cut_pieces(data: np.ndarray, bounds: np.ndarray, size: int = SIZE) -> tuple[
         part = data[a : a + STEP + size - 1]
         # The texts that reach into the part, cut off at its ends.
         i, j = np.searchsorted(bounds, a, side="right") - 1, np.searchsorted(bounds, a + len(part))
-        starts, stops, anchors = _cut_part(part, np.clip(bounds[i : j + 1] - a, 0, len(part)), size)
+        starts, stops, anchors = _cut_part(part, np.clip(bounds[i : j + 1] - a, 0, len(part)), size, crowded)
         found.append((starts + a, stops + a, anchors))
     none = np.empty(0, dtype=np.int64)
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (none, none, none.astype(U64))
 
 
-def _cut_part(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _cut_part(data: np.ndarray, bounds: np.ndarray, size: int, crowded: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     none = np.empty(0, dtype=np.int64)
     if len(data) < size:
         return none, none, none.astype(U64)
     width = size - ANCHOR + 1
-    least = _least(anchor_hashes(data), width)
+    least = _least(anchor_hashes(data, crowded), width)
     # Windows that start within size - 1 bytes before a text's end cross it.
     edge = np.zeros(len(data) + 1, dtype=np.int64)
     np.add.at(edge, np.maximum(bounds[1:] - (size - 1), bounds[:-1]), 1)
@@ -467,11 +479,47 @@ def _checksums(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.array([zlib.crc32(view[a:b]) for a, b in zip(cuts, cuts[1:])], dtype=np.uint32)
 
 
-def _cut_task(buckets: int, size: int):
+def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells with more than twice the places of a task's mean; what the others hold adds up to little."""
+    places = np.zeros(CELLS, dtype=np.int64)
+    for _, _, data, _ in _portions(batches):
+        for begin in range(0, len(data), CUT_BYTES):
+            steps = range(begin, min(begin + CUT_BYTES, len(data)), STEP)
+            found = [cells_of(anchor_hashes(data[a : min(a + STEP, begin + CUT_BYTES) + ANCHOR - 1])) for a in steps]
+            places += np.bincount(np.concatenate(found), minlength=CELLS)
+    cell = np.flatnonzero(places > 2 * places.mean() + CROWD_LEAST // 256)
+    yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(places[cell], pa.int64())], names=["cell", "places"])
+
+
+def crowded_cells(own: DataFrame, total: int) -> np.ndarray | None:
+    """Packed flags of the cells whose strings stand in very many places of all texts, or None.
+
+    Pieces that share an anchor meet in one task. A passage in a third of all documents gives each of them
+    pieces of its own at the passage's ends, where neighbours vary. If the strings of such passages anchor
+    nothing but windows within them, these pieces are dealt by their neighbours, and the ones
+    within are equal and merged early. The flags deal pieces only; no result depends on them.
+    """
+    least = max(CROWD_LEAST, CROWD * total // CELLS)
+    counted = own.mapInArrow(_count_task, "cell int, places long").groupBy("cell").agg(F.sum("places").alias("places"))
+    # At most a CROWD-th of the cells.
+    cells = [r["cell"] for r in counted.where(F.col("places") > least).select("cell").collect()]
+    if not cells:
+        return None
+    flags = np.zeros(CELLS, dtype=bool)
+    flags[cells] = True
+    return np.packbits(flags)
+
+
+def _flags(packed: np.ndarray | None) -> np.ndarray | None:
+    return None if packed is None else np.unpackbits(packed).astype(bool)
+
+
+def _cut_task(buckets: int, size: int, packed: np.ndarray | None = None):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowded = _flags(packed)
         for doc, _, data, bounds in _portions(batches):
             crc = _checksums(data, bounds)
-            starts, stops, anchors = cut_pieces(data, bounds, size)
+            starts, stops, anchors = cut_pieces(data, bounds, size, crowded)
             if not len(starts):
                 continue
             text = np.searchsorted(bounds, starts, side="right") - 1
@@ -510,7 +558,7 @@ def _frame(doc, crc, start, stop) -> pd.DataFrame:
     return pd.DataFrame({"doc": doc.astype(np.int64), "crc": crc.astype(np.int64), "start": start.astype(np.int64), "stop": stop.astype(np.int64)})
 
 
-def bucket_spans(blobs: list[bytes], size: int) -> pd.DataFrame:
+def bucket_spans(blobs: list[bytes], size: int, crowded: np.ndarray | None = None) -> pd.DataFrame:
     """Spans (doc, crc, start, stop) covered by smaller documents, among the pieces of one bucket."""
     docs, crcs, lengths, places, bodies = [], [], [], [], []
     for blob in blobs:
@@ -534,7 +582,7 @@ def bucket_spans(blobs: list[bytes], size: int) -> pd.DataFrame:
     rising = np.argsort(starts[sample])
     own = sample[rising]
     anchor, possible = np.empty(len(sample), dtype=U64), np.empty(len(sample), dtype=bool)
-    anchor[rising], possible[rising] = anchors_and_matches(data, starts[own], stops[own], doc[own], size)
+    anchor[rising], possible[rising] = anchors_and_matches(data, starts[own], stops[own], doc[own], size, crowded)
     sort = np.flatnonzero(possible)
     if not len(sort):
         return pd.concat(spans, ignore_index=True)
@@ -580,14 +628,14 @@ def _portion(doc: np.ndarray, crc: np.ndarray, portions: int) -> np.ndarray:
     return (mixed % U64(portions)).astype(np.int32)
 
 
-def _bucket_task(size: int, portions: int):
+def _bucket_task(size: int, portions: int, packed: np.ndarray | None):
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         spans = [NO_SPANS]
         for blob in rows.loc[rows["settled"], "blob"]:
             spans.append(_frame(*_unpack(blob, np.int64, np.uint32, np.int64, np.int64)))
         blobs = list(rows.loc[~rows["settled"], "blob"])
         if blobs:
-            spans.append(bucket_spans(blobs, size))
+            spans.append(bucket_spans(blobs, size, _flags(packed)))
         doc, crc, start, stop = pd.concat(spans, ignore_index=True).to_numpy(dtype=np.int64).T
         portion = _portion(doc, crc, portions)
         order = np.lexsort((start, crc, doc, portion))
@@ -684,9 +732,11 @@ def repeated_spans(
     own = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets, portions = total // BUCKET_BYTES + 1, total // APPLY_BYTES + 1
-    pieces = own.where("key is not null").mapInArrow(_cut_task(buckets, size), "bucket int, blob binary, settled boolean")
+    known = own.where("key is not null")
+    crowded = crowded_cells(known, total)
+    pieces = known.mapInArrow(_cut_task(buckets, size, crowded), "bucket int, blob binary, settled boolean")
     placed = pieces.groupBy("bucket").applyInPandas(
-        _bucket_task(size, portions), "portion int, blob binary"
+        _bucket_task(size, portions, crowded), "portion int, blob binary"
     )
     texts = own.mapInArrow(_text_task(portions), "portion int, blob binary")
     return placed.groupBy("portion").cogroup(texts.groupBy("portion")).applyInPandas(_apply_task(keep), RESULT)

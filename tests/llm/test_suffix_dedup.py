@@ -59,6 +59,35 @@ def test_equals_brute_force(spark, monkeypatch, seed):
     assert found(spark, rows) == brute(rows)
 
 
+def shared_passage(texts=400):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage = word(120)
+    return [(i, word(rng.randrange(150)) + (passage if i % 3 == 0 else "") + word(rng.randrange(150))) for i in range(texts)]
+
+
+def test_pieces_at_the_ends_of_a_common_passage_have_anchors_of_their_own(monkeypatch):
+    texts = [np.frombuffer(t.encode(), dtype=np.uint8) for _, t in shared_passage()]
+    data, bounds = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+
+    def most(crowded):
+        starts, stops, anchors = s.cut_pieces(data, bounds, crowded=crowded)
+        different = {(int(h), data[a:b].tobytes()) for a, b, h in zip(starts, stops, anchors)}
+        return max(np.unique([h for h, _ in different], return_counts=True)[1])
+
+    cells = np.bincount(s.cells_of(s.anchor_hashes(data)), minlength=s.CELLS)
+    assert most(None) > 50 and most(cells > 20) < 10
+
+
+def test_crowded_strings_change_no_result(spark, monkeypatch):
+    rows = shared_passage() + corpus(7)
+    monkeypatch.setattr(s, "CROWD_LEAST", 20)
+    monkeypatch.setattr(s, "BUCKET_BYTES", 3000)
+    own = spark.createDataFrame([(i, (t or "").encode()) for i, t in rows], "key long, text binary")
+    assert s.crowded_cells(own, 1000) is not None
+    assert found(spark, rows) == brute(rows)
+
+
 def test_other_window_sizes_and_empty_tables(spark):
     rows = corpus(3)[:30]
     assert found(spark, rows, size=20) == brute(rows, 20)
