@@ -36,13 +36,13 @@ APPLY_BYTES = 16 << 20
 # at least before its strings are crowded, beside CROWD times the mean of all cells.
 CELLS, CROWD, CROWD_LEAST = 1 << 20, 6, 1 << 12
 # Ranges of places of an anchor within its window.
-PLACES = 4
+PLACES = 6
 # Pieces per collection (an anchor is never divided), rows of the external files read at once.
 COLLECTION = 1 << 12
 ROWS = 1 << 22
 # Bytes hashed at once: hashes take eight bytes each, and a step's arrays fit a core's cache.
 STEP = 1 << 15
-LEVEL = 5
+LEVEL, TEXT_LEVEL = 5, 3
 END = 255  # no byte of UTF-8
 BASE = 0x9E3779B97F4A7C15
 
@@ -65,16 +65,10 @@ def anchor_hashes(data: np.ndarray, crowded: np.ndarray | None = None) -> np.nda
     further apart, which makes pieces longer. Strings in ``crowded`` cells (a flag each) have the highest
     hashes, so they anchor only windows that hold no other string.
     """
-    h, factor, width = data.astype(U64) + U64(1), U64(BASE), 1
     places = max(0, len(data) - ANCHOR + 1)
-    with np.errstate(over="ignore"):
-        while width < ANCHOR:
-            h = h[:-width] * factor + h[width:]
-            factor, width = factor * factor, width * 2
-            if width == INNER:
-                inner = _mix(h)
-    h = _mix(h) >> U64(2)
+    short, h = joined_hashes(data)
     if places:
+        inner = _mix(short)
         least, far = _least(inner, ANCHOR - INNER + 1), ANCHOR - INNER
         ends = (least == inner[:places]) | (least == inner[far : far + places])
         h |= (~ends).astype(U64) << U64(62)
@@ -83,6 +77,18 @@ def anchor_hashes(data: np.ndarray, crowded: np.ndarray | None = None) -> np.nda
     return h
 
 
+def joined_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of INNER bytes, hashes of ANCHOR bytes below 2**62) from each place."""
+    h, factor, width = data.astype(U64) + U64(1), U64(BASE), 1
+    with np.errstate(over="ignore"):
+        while width < ANCHOR:
+            h = h[:-width] * factor + h[width:]
+            factor, width = factor * factor, width * 2
+            if width == INNER:
+                short = h
+    return short, _mix(h) >> U64(2)
+
+
 def cells_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes & U64(CELLS - 1)).astype(np.int32)
 
@@ -224,8 +230,13 @@ def equal_groups(hashes: np.ndarray, docs: np.ndarray, data: np.ndarray, starts,
     Hashes bring candidates together; stretches that differ from the first of their group are put
     into groups of their own content.
     """
-    order = np.lexsort((docs, stops - starts, hashes))
-    h, n = hashes[order], (stops - starts)[order]
+    order = np.argsort(hashes)
+    h = hashes[order]
+    same = h[1:] == h[:-1]
+    at = np.flatnonzero(np.r_[False, same] | np.r_[same, False][: len(h)])
+    twins = order[at]
+    order[at] = twins[np.lexsort((docs[twins], (stops - starts)[twins], hashes[twins]))]
+    n = (stops - starts)[order]
     head = np.r_[True, (h[1:] != h[:-1]) | (n[1:] != n[:-1])]
     first = np.flatnonzero(head)[np.cumsum(head) - 1]
     again = np.flatnonzero(~head)
@@ -409,10 +420,10 @@ def covered_windows(rows: np.ndarray, lengths: np.ndarray, docs: np.ndarray, siz
     return np.concatenate(pieces), np.concatenate(offsets)
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
+def _pack(*arrays: np.ndarray, level: int = LEVEL) -> bytes:
     """Arrays as one compressed blob: their lengths, then their bytes."""
     head = np.array([len(arrays), *(len(a) for a in arrays)], dtype=np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=LEVEL).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=level).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 
 def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
@@ -485,7 +496,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, _, data, _ in _portions(batches):
         for begin in range(0, len(data), CUT_BYTES):
             steps = range(begin, min(begin + CUT_BYTES, len(data)), STEP)
-            found = [cells_of(anchor_hashes(data[a : min(a + STEP, begin + CUT_BYTES) + ANCHOR - 1])) for a in steps]
+            found = [cells_of(joined_hashes(data[a : min(a + STEP, begin + CUT_BYTES) + ANCHOR - 1])[1]) for a in steps]
             places += np.bincount(np.concatenate(found), minlength=CELLS)
     cell = np.flatnonzero(places > 2 * places.mean() + CROWD_LEAST // 256)
     yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(places[cell], pa.int64())], names=["cell", "places"])
@@ -539,7 +550,8 @@ def _cut_task(buckets: int, size: int, packed: np.ndarray | None = None):
             for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(sent)].tolist()):
                 for i in range(a, b, 1 << 16):  # numbers of texts in a blob are 16 bits wide
                     part = sent[i : min(i + (1 << 16), b)]
-                    used, local = np.unique(text[part], return_inverse=True)
+                    new = np.r_[True, text[part][1:] != text[part][:-1]]
+                    used, local = text[part][new], np.cumsum(new) - 1
                     lengths = stops[part] - starts[part]
                     blob = _pack(
                         np.diff(doc[used], prepend=0), crc[used], local.astype(np.uint16), lengths.astype(length_kind(size)),
@@ -674,7 +686,7 @@ def _text_task(portions: int):
                 own = np.flatnonzero(portion == k)
                 sizes = bounds[own + 1] - bounds[own]
                 body = np.frombuffer(b"".join([view[bounds[i] : bounds[i + 1]] for i in own]), dtype=np.uint8)
-                rows.append({"portion": int(k), "blob": _pack(doc[own], known[own].astype(np.uint8), crc[own], sizes, body)})
+                rows.append({"portion": int(k), "blob": _pack(doc[own], known[own].astype(np.uint8), crc[own], sizes, body, level=TEXT_LEVEL)})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("portion", pa.int32()), ("blob", pa.binary())]))
 
     return pack
