@@ -166,3 +166,13 @@ def test_a_broken_model_does_not_beat_the_mean(spark, monkeypatch):
     fit = training.fit
     monkeypatch.setattr(training, "fit", lambda train, **how: fit(train, rank=1, regParam=50.0, maxIter=1))
     assert als_predict(spark, "/root/testdata/sf0.001").first()["beats_mean"] is False
+
+
+def test_what_a_search_keeps_on_disk_is_bounded(indexed, monkeypatch):
+    """Factors sent between blocks are deleted at checkpoints; the parts kept for the candidates hold no names."""
+    given, search = [], training.TrainValidationSplit.fit
+    monkeypatch.setattr(training.TrainValidationSplit, "fit", lambda self, df: given.append((self.getEstimator(), df)) or search(self, df))
+    training.tune(indexed, ranks=[2], reg_params=[0.1], maxIter=1)
+    estimator, table = given[0]
+    assert estimator.getCheckpointInterval() <= 2
+    assert table.columns == ["user_index", "item_index", "Score"]
