@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteloom.operators.activity import activity
+from tasteloom.operators.joins import ROWS_PER_TASK, hot_keys
 from tasteloom.operators.labels import apply_labels
 from tasteloom.operators.ordering import with_position
 from tasteloom.sources import bucketstore, commits
@@ -134,7 +135,7 @@ def with_index(df: DataFrame, column: str, path: str, index: str, unseen: str =
     An unknown or missing name gets the first free id (``keep``), loses its row (``skip``) or fails the job (``error``). Names that are
     hot in ``df`` are spread over tasks, however rare they were when they got their id.
     """
-    names = current(df.sparkSession, path, version)
-    counts = activity(df, column).select(F.col(column).cast("string").alias("label"), "n").where(F.col("label").isNotNull())
-    labels = names.join(counts, "label", "left").select("label", "idx", F.coalesce("n", F.lit(0)).alias("n"))
-    return apply_labels(df, column, cut(labels, "labels"), index, unseen)
+    # Only the few frequent names are kept of the counts, so that the index is read once and not written again.
+    counts = activity(df, column).select(F.col(column).cast("string").alias(column), "n")
+    hot = hot_keys(cut(counts.where(F.col("n") > ROWS_PER_TASK), "frequent"), column)
+    return apply_labels(df, column, current(df.sparkSession, path, version), index, unseen, hot)

@@ -69,3 +69,16 @@ def test_a_writer_that_died_is_passed_after_vacuum(spark, tmp_path, monkeypatch)
     assert held(labelstore.current(spark, path)) == {"a": 0}
     labelstore.vacuum(spark, path)
     assert labelstore.grow(names(spark, "b"), "x", path) == 2 and held(labelstore.current(spark, path)) == {"a": 0, "b": 1}
+
+
+def test_a_lookup_writes_frequent_names_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "names")
+    df = spark.createDataFrame([(x,) for x in "aaabbcd"], "x string")
+    labelstore.grow(df, "x", path)
+    written, cut = [], labelstore.cut
+    monkeypatch.setattr(labelstore, "cut", lambda *a: written.append(cut(*a)) or written[-1])
+    for at_least, frequent in ((2_000_000, 0), (2, 1)):
+        monkeypatch.setattr(labelstore, "ROWS_PER_TASK", at_least, raising=False)
+        got = {tuple(r) for r in labelstore.with_index(df, "x", path, "i").collect()}
+        assert got == {("a", 0.0), ("b", 1.0), ("c", 2.0), ("d", 3.0)}
+        assert written[-1].count() == frequent
