@@ -176,3 +176,37 @@ def test_what_a_search_keeps_on_disk_is_bounded(indexed, monkeypatch):
     estimator, table = given[0]
     assert estimator.getCheckpointInterval() <= 2
     assert table.columns == ["user_index", "item_index", "Score"]
+
+
+def test_blocks_fill_whole_waves_of_cores():
+    got = training.in_waves({"numUserBlocks": 14, "numItemBlocks": 10}, 12)
+    assert got == {"numUserBlocks": 24, "numItemBlocks": 12}
+    assert training.in_waves({"numUserBlocks": 510, "numItemBlocks": 10}, 50) == {"numUserBlocks": 510, "numItemBlocks": 10}
+
+
+def test_a_fit_uses_whole_waves(indexed, monkeypatch):
+    given, make = [], training.als
+    monkeypatch.setattr(training, "als", lambda **how: given.append(how) or make(**how))
+    training.fit(indexed, rank=2, maxIter=1)
+    training.tune(indexed, ranks=[2], reg_params=[0.1], maxIter=1)
+    cores = indexed.sparkSession.sparkContext.defaultParallelism
+    assert len(given) == 2 and all(how[side] % cores == 0 for how in given for side in ("numUserBlocks", "numItemBlocks"))
+
+
+def test_frame_without_names_holds_the_same_ratings_and_split(reviews):
+    named, bare = training.train_frame(reviews, 30, 30), training.train_frame(reviews, 30, 30, named=False)
+    assert bare.ratings.columns == ["user_index", "item_index", "Score", "bucket"]
+    assert dict(bare.ratings.dtypes)["user_index"] == dict(bare.ratings.dtypes)["item_index"] == "int"
+    splits = zip(training.hash_split(named.ratings), training.hash_split(bare.ratings, bucket=F.col("bucket")))
+    for want, got in splits:
+        rows = [sorted((r["user_index"], r["item_index"], r["Score"]) for r in part.collect()) for part in (want, got)]
+        assert rows[0] == rows[1] and rows[0]
+
+
+def test_users_are_counted_and_filtered_once(reviews, monkeypatch):
+    """What both the item labels and the ratings are made from is written, and the names leave with it."""
+    written, write = {}, training.cut
+    monkeypatch.setattr(training, "cut", lambda df, purpose="cut": written.setdefault(purpose, write(df, purpose)))
+    training.train_frame(reviews, 30, 30, named=False)
+    assert {"counts", "active"} <= set(written)
+    assert written["kept"].columns == ["UserId", "item_index", "Score", "bucket"]

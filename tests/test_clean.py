@@ -3,6 +3,8 @@ import math
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tasteloom.operators.clean import clean_nulls, dedup_latest, dedup_pairs
 from tasteloom.sources.schemas import as_ratings
 
@@ -57,3 +59,12 @@ def test_dedup_is_idempotent_and_ignores_row_order(spark, rows):
     assert once == sorted(want.values(), key=repr)
     assert latest(list(reversed(rows))) == once
     assert latest(once) == once
+
+
+def test_pairs_neither_read_nor_compare_ids(spark):
+    rows = [("u", "a", 1.0, 5, 9), ("u", "a", 3.0, 5, 1), ("u", "a", 9.0, 4, 99), ("u", "b", 2.0, None, 7), ("u", "b", 1.0, 0, 1)]
+    df = spark.createDataFrame(rows, "UserId string, ProductId string, Score float, Time long, Id long")
+    pairs = dedup_pairs(df)
+    assert sorted(map(tuple, pairs.collect())) == [("u", "a", 3.0), ("u", "b", 1.0)]
+    boom = df.withColumn("Id", F.raise_error(F.lit("read")).cast("long"))
+    assert sorted(map(tuple, dedup_pairs(boom).collect())) == [("u", "a", 3.0), ("u", "b", 1.0)]
