@@ -72,8 +72,10 @@ def budgets(
     if first is None:
         target = most
     else:
-        level = (F.lit(first["left"]) * F.col("_weight")).cast("double") / F.lit(float(first["rest"]))
-        full = F.lit(first["left"]) * F.col("_weight") > F.lit(repeats) * F.col("source_size") * F.lit(first["rest"])
+        # A literal below 2**31 would be 32 bit, as are the weights, and their product overflow.
+        shared = F.lit(first["left"]).cast("long") * F.col("_weight")
+        level = shared.cast("double") / F.lit(float(first["rest"]))
+        full = shared > F.lit(repeats) * F.col("source_size") * F.lit(first["rest"])
         target = F.when(full, most).otherwise(level)
     return weighed.select("source", "source_size", target.alias("target"), "before")
 

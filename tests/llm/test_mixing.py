@@ -81,6 +81,15 @@ def test_targets_of_many_sources(spark):
         assert {r["source"]: round(r["target"], 6) for r in got} == {s: round(float(t), 6) for s, t in want.items()}
 
 
+@pytest.mark.parametrize("size", [20_000_000, 50_000_000, 10**12])
+def test_targets_of_large_sources(spark, size):
+    """The words left to share may fit in 32 bits while their product with a weight does not."""
+    sizes = {f"s{i:02d}": size + i for i in range(20)}
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.budgets(table).collect()}
+    assert got == pytest.approx({s: float(t) for s, t in brute_targets(sizes).items()}, rel=1e-12)
+
+
 def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string")
     text = plan(mixing.mix(df))
