@@ -184,6 +184,21 @@ def test_blocks_fill_whole_waves_of_cores():
     assert training.in_waves({"numUserBlocks": 510, "numItemBlocks": 10}, 50) == {"numUserBlocks": 510, "numItemBlocks": 10}
 
 
+def test_blocks_hold_no_more_ratings_than_a_task_can(indexed, monkeypatch):
+    """173 million ratings of 5 million users and 7 million items: by vectors alone 12 blocks of 14 million ratings."""
+    given, make = [], training.als
+    few = {"rank": 2, "maxIter": 1, "numUserBlocks": 2, "numItemBlocks": 2}
+    monkeypatch.setattr(training, "als", lambda **how: given.append(how) or make(**(how | few)))
+    sizes = (173_000_000, 5_400_000, 7_200_000)
+    training.fit(indexed, sizes, rank=20)
+    training.tune(indexed, ranks=[2, 20], reg_params=[0.1], sizes=sizes)
+    for how in given:
+        for side in ("numUserBlocks", "numItemBlocks"):
+            assert sizes[0] / how[side] * (60 + 24 + 4 * 20) <= 256 << 20 and how[side] <= 512
+    assert training.within_memory({"numUserBlocks": 200, "numItemBlocks": 10}, 10**12, 10) == {"numUserBlocks": 512, "numItemBlocks": 512}
+    assert training.within_memory({"numUserBlocks": 14, "numItemBlocks": 10}, 10**7, 20) == {"numUserBlocks": 14, "numItemBlocks": 10}
+
+
 def test_a_fit_uses_whole_waves(indexed, monkeypatch):
     given, make = [], training.als
     monkeypatch.setattr(training, "als", lambda **how: given.append(how) or make(**how))
